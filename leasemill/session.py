@@ -54,9 +54,9 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors of a cluster this package, for the Python stages; once for each application."""
+    """Give the Python workers this package, wherever they start; once for each application."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_leasemill_shipped", False):
+    if getattr(sc, "_leasemill_shipped", False):
         return
     root = Path(__file__).resolve().parent
     target = Path(tempfile.mkdtemp(prefix="leasemill-ship-")) / "leasemill.zip"
