@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leasemill.llm import encode, packing, truncation
+from leasemill.llm import encode, mojibake, packing, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Table, key and field of problem 2.
+NAMES = [
+    ("dim_project", "project_key", "project_name_ar"),
+    ("dim_location", "location_key", "area_name_ar"),
+    ("dim_property", "property_key", "property_usage_ar"),
+]
+
+
+def garbled_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """table_name, record_key, original, garbled, mapping, restored of every record of the three tables.
+
+    The corpus is what is not under suspicion: all documents and the list of usage labels.
+    """
+    corpus = table(spark, sf_dir, "documents").select("text").unionByName(table(spark, sf_dir, "usage_labels").select(F.col("property_usage_ar").alias("text")))
+    names = [table(spark, sf_dir, t).select(F.lit(t).alias("table_name"), F.col(k).alias("record_key"), F.col(c).alias("name")) for t, k, c in NAMES]
+    every = names[0].unionByName(names[1]).unionByName(names[2])
+    return mojibake.detect(every, ["table_name", "record_key"], "name", mojibake.corpus_pairs(corpus, "text"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled_names(spark, sf_dir).filter("garbled").select("table_name", "record_key")
+
+
+def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled_names(spark, sf_dir).filter("garbled").drop("garbled")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(table(spark, sf_dir, "documents"))
 
@@ -43,6 +70,8 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p2_found": p2_found,
+        "p2_restored": p2_restored,
         "p6_ids": p6_ids,
         "p6_decoded": p6_decoded,
         "p7_packed": p7_packed,
