@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: The smallest normal double; what is nearer to zero counts as zero.
+SMALLEST = sys.float_info.min
+
+
 def gamma(alpha: float) -> float:
     """Ratio of neighbouring bucket bounds for a relative error of ``alpha``."""
     if not 0 < alpha < 1:
@@ -17,7 +22,7 @@ def gamma(alpha: float) -> float:
 
 def bucket_limit(alpha: float) -> int:
     """The most buckets that finite doubles can fill: both signs and the zero."""
-    return 2 * math.ceil((math.log(1.8e308) - math.log(4.9e-324)) / math.log(gamma(alpha))) + 3
+    return 2 * math.ceil((math.log(sys.float_info.max) - math.log(SMALLEST)) / math.log(gamma(alpha))) + 3
 
 
 def is_finite(c: Column) -> Column:
@@ -26,13 +31,13 @@ def is_finite(c: Column) -> Column:
 
 
 def sign_of(c: Column) -> Column:
-    return F.when(c > 0, 1).when(c < 0, -1).otherwise(0)
+    return F.when(c >= SMALLEST, 1).when(c <= -SMALLEST, -1).otherwise(0)
 
 
 def bucket_of(c: Column, alpha: float) -> Column:
     """ceil(log_gamma |x|); 0 for a zero. For finite values only."""
     scaled = F.ceil(F.ln(F.abs(c)) / F.lit(math.log(gamma(alpha))))
-    return F.when(c != 0, scaled).otherwise(F.lit(0)).cast("int")
+    return F.when(F.abs(c) >= SMALLEST, scaled).otherwise(F.lit(0)).cast("int")
 
 
 def signed_order(sign: Column, bucket: Column) -> Column:
@@ -41,6 +46,7 @@ def signed_order(sign: Column, bucket: Column) -> Column:
 
 
 def bucket_value(sign: Column, bucket: Column, alpha: float) -> Column:
-    """The value whose relative distance to either bound of the bucket is at most ``alpha``."""
+    """The value whose relative distance to either bound of the bucket is at most ``alpha``; the largest double at most."""
     g = gamma(alpha)
-    return F.when(sign == 0, F.lit(0.0)).otherwise(sign * F.pow(F.lit(g), bucket.cast("double")) * F.lit(2.0 / (g + 1.0)))
+    size = F.pow(F.lit(g), bucket.cast("double") - 1.0) * F.lit(2.0 * g / (g + 1.0))
+    return F.when(sign == 0, F.lit(0.0)).otherwise(sign * F.least(size, F.lit(sys.float_info.max)))

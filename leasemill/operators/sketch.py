@@ -3,7 +3,7 @@
 A sketch is a table of counts in signed logarithmic buckets: bucket i of a sign holds the values with
 gamma^(i-1) < |x| <= gamma^i, gamma = (1 + alpha) / (1 - alpha). Sketches of parts merge by adding matching counts, and the
 result equals the sketch of the whole exactly. A percentile q is the value at 0-based rank floor(q * (n - 1)) of the
-ordered values; the returned value v of the true x satisfies |v - x| <= alpha * |x| (zeros are exact).
+ordered values; the returned value v of the true x satisfies |v - x| <= alpha * |x|. Zeros are exact; values nearer to zero than the smallest normal double count as zeros.
 
 Defined results: null, NaN and infinite values are counted as ``n_skipped`` and take no part; null group values form
 groups of their own; a group without any value gives one row for each percentile with a null value; an empty table gives
@@ -23,6 +23,8 @@ BUCKET = ["skipped", "sign", "bucket"]
 
 def build(df: DataFrame, keys: list[str], value: str, alpha: float = ALPHA) -> DataFrame:
     """The sketch of each group: keys, skipped, sign, bucket, n. One scan of the keys and the value, one shuffle of counts."""
+    if clash := {*BUCKET, "n"} & {*keys}:
+        raise ValueError(f"a key may not be named {sorted(clash)}")
     v = F.col(value).cast("double")
     ok = is_finite(v)
     rows = df.select(
