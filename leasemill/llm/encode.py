@@ -30,11 +30,18 @@ def broadcast_file(df: DataFrame, path: str | None):
     return df.sparkSession.sparkContext.broadcast(bpe.read_file(path))
 
 
+def own_name(name: str, *taken: str) -> str:
+    """The name of a key column; one that the result has itself is refused."""
+    if name in taken:
+        raise ValueError(f"a key may not be named {name}")
+    return name
+
+
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """The key and ``ids`` (array of int). No shuffle."""
     prepare(df)
     file = broadcast_file(df, path)
-    source = df.select(F.col(key), F.col(text).cast("string").alias("_text_"))
+    source = df.select(F.col(own_name(key, "ids", "_text_")), F.col(text).cast("string").alias("_text_"))
     out = T.StructType([source.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
@@ -52,7 +59,7 @@ def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | Non
     are no UTF-8, which only ids of parts of a text can give, become U+FFFD."""
     prepare(df)
     file = broadcast_file(df, path)
-    source = df.select(F.col(key), F.col(ids).alias("_ids_"))
+    source = df.select(F.col(own_name(key, "text", "_ids_")), F.col(ids).alias("_ids_"))
     out = T.StructType([source.schema[key], T.StructField("text", T.StringType())])
 
     def run(batches):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leasemill.llm.encode import prepare
+from leasemill.llm.encode import own_name, prepare
 
 #: Encodings whose reading of foreign bytes is tried, and the single-byte ones that may have been meant besides UTF-8.
 READ_AS = ["cp1252", "latin-1", "cp1256", "mac_roman", "cp437", "cp850", "iso8859-6", "cp720", "cp1251", "cp1254", "cp1250", "iso8859-15", "koi8-r", "cp866"]
@@ -338,7 +338,8 @@ def detect(df: DataFrame, key: list[str], text: str, pairs: PairTable | object)
     """
     prepare(df)
     table = pairs if hasattr(pairs, "value") else df.sparkSession.sparkContext.broadcast(pairs)
-    source = df.select(F.col(text).cast("string").alias("original"), *key)
+    keys = [own_name(k, "original", "garbled", "mapping", "restored") for k in key]
+    source = df.select(F.col(text).cast("string").alias("original"), *keys)
     out = T.StructType([*source.schema.fields, T.StructField("garbled", T.BooleanType()), T.StructField("mapping", T.StringType()), T.StructField("restored", T.StringType())])
 
     def run(batches):

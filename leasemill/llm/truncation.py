@@ -184,6 +184,8 @@ TAIL = T.StructType(
     + [T.StructField("before5", T.LongType()), T.StructField("before2", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("number", T.BooleanType())]
 )
 KEYS = [*(f"c{k}" for k in ORDERS), "before5", "before2", "prefix"]
+#: Longer strings are no words; they have no nodes in the trie.
+LONGEST_WORD = 100
 
 
 def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -289,7 +291,7 @@ def corpus_counts(df: DataFrame, bits, text: str = "text") -> DataFrame:
             for n in numbers.tolist():
                 if n not in prefixes:
                     w = known.words[n]
-                    mine = np.array([prefix_key(w[:i]) for i in range(1, len(w))], np.uint64)
+                    mine = np.array([prefix_key(w[:i]) for i in range(1, len(w))] if len(w) <= LONGEST_WORD else [], np.uint64)
                     prefixes[n] = mine[asked(mine)]
             below = [prefixes[n] for n in numbers.tolist()]
             if below:
@@ -350,7 +352,8 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def evidence(rows: DataFrame) -> Column:
     """Why a text is cut, or null."""
     c = F.col
-    hint = c("pile_n_chars_") | c("pile_n_bytes") | c("ellipsis") | c("dangling")
+    piled = c("pile_n_chars_") | c("pile_n_bytes")
+    hint = piled | c("ellipsis") | c("dangling")
     others, near = (F.greatest(c(x) - 1, F.lit(0)) for x in ("c5_finals", "before5_finals"))
     # What else could stand there: all that goes on after the words before, or, at the start of a sentence, the longer words.
     rivals = F.when(c("before5").isNull(), c("prefix_went_on")).otherwise(c("before5_went_on"))
@@ -368,6 +371,7 @@ def evidence(rows: DataFrame) -> Column:
     return (
         F.when(c("broken"), "broken character")
         .when(unknown & prefix & ~c("number"), "word")
+        .when(piled & c("dangling"), "sentence and length")
         .when(seen.isNotNull(), F.when(seen <= limit, F.when(hint, "sentence and length").otherwise("sentence")))
         .when(prefix & after_known, "word in context")
         .when(hint & ~usual, "length")
