@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.functions.exprs import psf, psf_in_band, valid_area, valid_rent
-from leasemill.operators.ranks import nearest_rank, value_counts
+from leasemill.operators.ranks import median, nearest_rank, with_medians
 from leasemill.settings import LIMITS
 
 
@@ -30,15 +30,15 @@ def nothing(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], T.StructType([]))
 
 
-def rent_stats() -> list[Column]:
+RENT_STATS = ["contract_count", "avg_rent", "median_rent", "min_rent", "max_rent"]
+
+
+def stats_by(rows: DataFrame, key: str, extra: dict[str, Column] | None = None, medians: dict[str, Column] | None = None) -> DataFrame:
+    """Rent figures (and further ones) of each group. Medians are selected, not buffered: see ``ranks``."""
     rent = F.col("annual_amount")
-    return [
-        F.count("*").alias("contract_count"),
-        F.avg(rent).alias("avg_rent"),
-        F.median(rent).alias("median_rent"),
-        F.min(rent).alias("min_rent"),
-        F.max(rent).alias("max_rent"),
-    ]
+    simple = {"contract_count": F.count("*"), "avg_rent": F.avg(rent), "min_rent": F.min(rent), "max_rent": F.max(rent)} | (extra or {})
+    stats = rows.groupBy(key).agg(*[c.alias(n) for n, c in simple.items()])
+    return with_medians(stats, rows, [key], {"median_rent": rent} | (medians or {}))
 
 
 def share_of(count: str) -> Column:
@@ -63,11 +63,10 @@ def area_stats(df: DataFrame, area: str = "area_name_en") -> DataFrame:
     """Figures of each area with at least ten contracts, the largest first."""
     if area not in df.columns or "actual_area" not in df.columns:
         return nothing(df)
+    stats = stats_by(psf_metrics(df), area, {"avg_psf": F.avg("psf"), "avg_area": F.avg("actual_area")}, {"median_psf": F.col("psf")})
     return (
-        psf_metrics(df)
-        .groupBy(area)
-        .agg(*rent_stats(), F.avg("psf").alias("avg_psf"), F.median("psf").alias("median_psf"), F.avg("actual_area").alias("avg_area"))
-        .filter(F.col("contract_count") >= LIMITS.min_area_sample_size)
+        stats.filter(F.col("contract_count") >= LIMITS.min_area_sample_size)
+        .select(area, *RENT_STATS, "avg_psf", "median_psf", "avg_area")
         .orderBy(F.desc("contract_count"), F.asc_nulls_first(area))
     )
 
@@ -90,9 +89,8 @@ def property_type_stats(df: DataFrame) -> DataFrame:
     if kind is None:
         return nothing(df)
     return (
-        filter_valid_rent(df)
-        .groupBy(kind)
-        .agg(*rent_stats())
+        stats_by(filter_valid_rent(df), kind)
+        .select(kind, *RENT_STATS)
         .withColumn("market_share_pct", share_of("contract_count"))
         .orderBy(F.desc("contract_count"), F.asc_nulls_first(kind))
     )
@@ -102,9 +100,8 @@ def usage_segments(df: DataFrame) -> DataFrame:
     """By usage; contracts without a usage form a group of their own."""
     require(df, "annual_amount", "property_usage_en")
     return (
-        filter_valid_rent(df)
-        .groupBy("property_usage_en")
-        .agg(*rent_stats())
+        stats_by(filter_valid_rent(df), "property_usage_en")
+        .select("property_usage_en", *RENT_STATS)
         .withColumn("market_share_pct", share_of("contract_count"))
         .orderBy(F.desc("contract_count"), F.asc_nulls_first("property_usage_en"))
     )
@@ -113,7 +110,7 @@ def usage_segments(df: DataFrame) -> DataFrame:
 def luxury_thresholds(df: DataFrame, psf_col: str = "psf") -> tuple[Column, Column]:
     """Nearest-rank percentiles of psf and rent over the given rows, as scalar subqueries; null where there are no rows."""
     limits = ((psf_col, LIMITS.luxury_psf_percentile), ("annual_amount", LIMITS.luxury_rent_percentile))
-    psf_p, rent_p = (nearest_rank(value_counts(df, c), {c: q}).agg(F.max("v")).scalar() for c, q in limits)
+    psf_p, rent_p = (nearest_rank(df, F.col(c), {c: q}).agg(F.max("v")).scalar() for c, q in limits)
     return psf_p, rent_p
 
 
@@ -138,14 +135,8 @@ def rental_trends(df: DataFrame, date_column: str = "contract_start_date", perio
     }
     if date_column not in df.columns or period not in periods:
         return nothing(df)
-    return (
-        filter_valid_rent(df)
-        .filter(d.isNotNull())
-        .withColumn("period", periods[period])
-        .groupBy("period")
-        .agg(*rent_stats()[:3])
-        .orderBy("period")
-    )
+    rows = filter_valid_rent(df).filter(d.isNotNull()).withColumn("period", periods[period])
+    return stats_by(rows, "period").select("period", *RENT_STATS[:3]).orderBy("period")
 
 
 def market_summary(df: DataFrame) -> DataFrame:
@@ -153,21 +144,20 @@ def market_summary(df: DataFrame) -> DataFrame:
     structs in the order of ``usage_segments``."""
     require(df, "annual_amount", "property_usage_en")
     ok, rent = valid_rent(), F.col("annual_amount")
-    overall = df.agg(
-        F.when(F.count_if(ok) > 0, F.count("*")).alias("total_contracts"),
-        F.avg(F.when(ok, rent)).alias("avg_rent"),
-        F.median(F.when(ok, rent)).alias("median_rent"),
-        F.min(F.when(ok, rent)).alias("min_rent"),
-        F.max(F.when(ok, rent)).alias("max_rent"),
-        *(
-            [
-                F.avg(F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())).alias("avg_psf"),
-                F.median(F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())).alias("median_psf"),
-            ]
-            if "actual_area" in df.columns
-            else []
-        ),
-    )
+    figures = {
+        "total_contracts": F.when(F.count_if(ok) > 0, F.count("*")),
+        "avg_rent": F.avg(F.when(ok, rent)),
+        "min_rent": F.min(F.when(ok, rent)),
+        "max_rent": F.max(F.when(ok, rent)),
+    }
+    shown = ["total_contracts", "avg_rent", "median_rent", "min_rent", "max_rent"]
+    scalars = {"median_rent": median(filter_valid_rent(df), rent)}
+    if "actual_area" in df.columns:
+        banded = F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())
+        figures["avg_psf"] = F.avg(banded)
+        scalars["median_psf"] = median(psf_metrics(df), F.col("psf"))
+        shown += ["avg_psf", "median_psf"]
+    overall = df.agg(*[c.alias(n) for n, c in figures.items()]).withColumns(scalars).select(*shown)
     fields = ["contract_count", "property_usage_en", "avg_rent", "median_rent", "min_rent", "max_rent", "market_share_pct"]
     breakdown = usage_segments(df).agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("usage_breakdown"))
     return overall.withColumn("usage_breakdown", breakdown.scalar())

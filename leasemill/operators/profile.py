@@ -166,9 +166,11 @@ def medians(state: DataFrame) -> DataFrame:
 def label_shares(state: DataFrame, rule: ColumnRule) -> DataFrame:
     """grp, column_name, label, share: of each valid label (0 where a group lacks it) among the non-null values."""
     mine = state.filter((F.col("column_name") == rule.name) & F.col("txt").isNotNull())
-    sums = mine.groupBy("grp", "column_name").agg(F.sum("n").alias("_all"), *[F.sum(F.when(F.col("txt") == x, F.col("n")).otherwise(0)).alias(f"_l{i}") for i, x in enumerate(rule.labels)])
-    cells = F.array(*[F.struct(F.lit(x).alias("label"), F.try_divide(F.col(f"_l{i}").cast("double"), F.col("_all")).alias("share")) for i, x in enumerate(rule.labels)])
-    return sums.select("grp", "column_name", F.inline(cells))
+    groups = mine.groupBy("grp").agg(F.sum("n").alias("_all"))
+    cells = groups.select(F.col("grp").alias("_g"), "_all", F.explode(F.array(*[F.lit(x) for x in rule.labels])).alias("label"))
+    held = cells.join(mine.select("grp", "txt", "n"), F.col("_g").eqNullSafe(F.col("grp")) & (F.col("label") == F.col("txt")), "left")
+    share = F.try_divide(F.coalesce(F.col("n"), F.lit(0)).cast("double"), F.col("_all"))
+    return held.select(F.col("_g").alias("grp"), F.lit(rule.name).alias("column_name"), "label", share.alias("share"))
 
 
 def distribution_change(state: DataFrame) -> DataFrame:

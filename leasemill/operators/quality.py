@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.functions.exprs import duration_days, valid_rent
-from leasemill.operators.ranks import nearest_rank, value_counts
+from leasemill.operators.ranks import median, nearest_rank
 from leasemill.settings import DATE_FIELDS, LIMITS, NUMERIC_FIELDS, REQUIRED_FIELDS
 
 
@@ -103,15 +103,14 @@ def profile(df: DataFrame) -> DataFrame:
 
 def outliers(df: DataFrame) -> DataFrame:
     """One row (n, n_outliers) over rows with a valid rent: outside q1 - k*iqr .. q3 + k*iqr by nearest-rank quartiles."""
-    counts = value_counts(df, "annual_amount", where=valid_rent())
-    quartiles = nearest_rank(counts, {"q1": 0.25, "q3": 0.75}).agg(
+    rows = df.filter(valid_rent())
+    quartiles = nearest_rank(rows, F.col("annual_amount"), {"q1": 0.25, "q3": 0.75}).agg(
         F.struct(F.max(F.when(F.col("tag") == "q1", F.col("v"))).alias("q1"), F.max(F.when(F.col("tag") == "q3", F.col("v"))).alias("q3")).alias("q")
     )
-    # The counts are one row for each value, so the bounds are tried on those, not on the table.
-    marked = counts.withColumn("q", quartiles.scalar())
+    marked = rows.select(F.col("annual_amount").alias("v")).withColumn("q", quartiles.scalar())
     reach = LIMITS.outlier_iqr_multiplier * (F.col("q.q3") - F.col("q.q1"))
     out = (F.col("v") < F.col("q.q1") - reach) | (F.col("v") > F.col("q.q3") + reach)
-    return marked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(out, F.col("n"))), F.lit(0)).alias("n_outliers"))
+    return marked.agg(F.count("*").alias("n"), F.count_if(out).alias("n_outliers"))
 
 
 def findings(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -204,8 +203,7 @@ def load_stats(df: DataFrame, top: int = 5) -> DataFrame:
         F.min(rent).alias("min_rent"),
         F.max(rent).alias("max_rent"),
         F.avg(rent).alias("avg_rent"),
-        F.median(rent).alias("median_rent"),
-    )
+    ).withColumn("median_rent", median(df, rent))
     if "property_usage_en" not in df.columns:
         return stats
     best = top_usages(df, top).agg(F.sort_array(F.collect_list(F.struct("n", "property_usage_en")), asc=False).alias("x"))

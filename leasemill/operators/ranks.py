@@ -1,64 +1,113 @@
-"""Exact order statistics from value-count tables, without sorting a whole group in one task.
+"""Exact order statistics without holding or sorting a whole group in one task.
 
-A value-count table holds each distinct value of a group once, with its number of rows. Ranks are found in two
-steps: the counts are summed into logarithmic buckets (a number bounded by the type, whatever the rows) and the
-bucket that holds a rank is found by a running sum; only the distinct values of that one bucket are then put in
-order. Null, NaN and infinite values take no part.
+Values are counted in logarithmic buckets first: a table whose size is bounded by the type of the values and the number of
+groups, whatever the rows, and which is combined before the shuffle. A running sum over a group's buckets finds the bucket
+that holds a rank. Only the values of that one bucket (a relative width of 2 * ``COARSE``) are then counted and put in
+order. So the rows are read twice, and about one in a hundred is shuffled. Null, NaN and infinite values take no part.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasemill.functions.buckets import bucket_of, is_finite, sign_of, signed_order
+from leasemill.session import persist_table
 
-#: Relative width of the first step's buckets.
+#: Relative accuracy of the first step's buckets.
 COARSE = 0.005
 
+MIDDLE = {"lo": F.floor, "hi": F.ceil}
+
+
+def _bucketed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_s": sign_of(F.col("v")), "_b": bucket_of(F.col("v"), COARSE)})
 
-def value_counts(df: DataFrame, value: str | Column, keys: list[str] | None = None, where: Column | None = None) -> DataFrame:
-    """Columns: the keys, ``v`` DOUBLE, ``n`` BIGINT. One shuffle with map-side combination, so a hot value costs nothing."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    rows = df if where is None else df.filter(where)
-    return rows.select(*(keys or []), v.alias("v")).filter(is_finite(F.col("v"))).groupBy(*(keys or []), "v").agg(F.count("*").alias("n"))
 
+def _located(counts: DataFrame, keys: list[str], ranks: Column) -> DataFrame:
+    """The buckets that hold the asked ranks: keys, _s, _b, ``below`` (rows in lower buckets), ``rank_tag``, ``rank``.
 
-def select_ranks(counts: DataFrame, keys: list[str], ranks: Column) -> DataFrame:
-    """The values at given ranks. ``counts``: keys, v, n. ``ranks``: an array of structs (tag, rank) made from the column
-    ``total``, the number of rows of a group; rank is 0-based. Result: keys, ``tag``, ``v``. Empty groups give no rows."""
-    marked = counts.withColumns({"_s": sign_of(F.col("v")), "_b": bucket_of(F.col("v"), COARSE)})
+    ``counts``: keys, _s, _b, n. ``ranks``: an array of structs (tag, rank) made from ``total``, the rows of a group.
+    """
     by_key = [F.col(k) for k in keys] or [F.lit(0)]
-    sums = marked.groupBy(*keys, "_s", "_b").agg(F.sum("n").alias("_n"))
+    sums = counts.groupBy(*keys, "_s", "_b").agg(F.sum("n").alias("_n"))
     running = Window.partitionBy(*by_key).orderBy(signed_order(F.col("_s"), F.col("_b"))).rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        sums.withColumns({"_below": F.sum("_n").over(running) - F.col("_n"), "total": F.sum("_n").over(Window.partitionBy(*by_key))})
-        .withColumn("_r", F.explode(ranks))
-        .filter((F.col("_r.rank") >= F.col("_below")) & (F.col("_r.rank") < F.col("_below") + F.col("_n")))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_s").alias("_s2"), F.col("_b").alias("_b2"), "_below", F.col("_r.tag").alias("tag"), F.col("_r.rank").alias("_rank"))
-    )
-    same = (F.col("_s") == F.col("_s2")) & (F.col("_b") == F.col("_b2"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    within = Window.partitionBy(*by_key, "tag").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        marked.join(placed, same)
-        .withColumn("_upto", F.col("_below") + F.sum("n").over(within))
-        .filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("n") <= F.col("_rank")))
-        .select(*keys, "tag", "v")
+        sums.withColumns({"below": F.sum("_n").over(running) - F.col("_n"), "total": F.sum("_n").over(Window.partitionBy(*by_key))})
+        .withColumn("_r", F.explode(ranks))
+        .filter((F.col("_r.rank") >= F.col("below")) & (F.col("_r.rank") < F.col("below") + F.col("_n")))
+        .select(*keys, "_s", "_b", "below", F.col("_r.tag").alias("rank_tag"), F.col("_r.rank").alias("rank"))
     )
 
 
-def nearest_rank(counts: DataFrame, quantiles: dict[str, float], keys: list[str] | None = None) -> DataFrame:
-    """Nearest-rank quantiles: the element at 0-based index round(q * (n - 1)), halves away from zero. Result: keys, tag, v."""
+def _within(found: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, rank_tag, v from the rows of the located buckets: keys, rank_tag, rank, below, v, n."""
+    values = found.groupBy(*keys, "rank_tag", "rank", "below", "v").agg(F.sum("n").alias("n"))
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys, "rank_tag").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return values.withColumn("_upto", upto).filter((F.col("_upto") > F.col("rank")) & (F.col("_upto") - F.col("n") <= F.col("rank"))).select(*keys, "rank_tag", "v")
+
+
+def select_ranks(rows: DataFrame, keys: list[str], ranks: Column, stored: bool = True) -> DataFrame:
+    """keys, ``rank_tag``, ``v``: the values at given ranks of each group. ``rows``: keys, v, n.
+
+    The located buckets, a row or two for each group, are written to the shared folder first (``stored``), so that the
+    planner knows their size when it chooses how to join them to the rows: broadcast up to its threshold, else a shuffle.
+    Empty groups give no rows.
+    """
+    marked = _bucketed(rows.filter(is_finite(F.col("v"))))
+    located = _located(marked, keys, ranks)
+    if stored:
+        located = persist_table(located, "ranks")
+    placed = located.withColumnsRenamed({k: f"_k_{k}" for k in keys} | {"_s": "_s2", "_b": "_b2"})
+    same = [F.col("_s") == F.col("_s2"), F.col("_b") == F.col("_b2"), *[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]]
+    return _within(marked.join(placed, reduce(lambda a, b: a & b, same)), keys)
+
+
+def _middle() -> Column:
+    n = (F.col("total") - 1) / 2
+    return F.array(*[F.struct(F.lit(t).alias("tag"), f(n).alias("rank")) for t, f in MIDDLE.items()])
+
+
+def exact_medians(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, ``median``, from a table of values and their counts (keys, v, n): the mean of the middle two."""
+    return select_ranks(counts, keys, _middle(), stored=False).groupBy(*keys).agg(F.avg("v").alias("median"))
+
+
+def grouped_medians(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """keys, and a column with the exact median of each of ``values`` for each group that has any of them."""
+    cells = [F.struct(F.lit(name).alias("_tag"), v.cast("double").alias("v")) for name, v in values.items()]
+    rows = df.select(*keys, F.inline(F.array(*cells)), F.lit(1).cast("bigint").alias("n"))
+    picked = select_ranks(rows, [*keys, "_tag"], _middle())
+    medians = [F.avg(F.when(F.col("_tag") == name, F.col("v"))).alias(name) for name in values]
+    return picked.groupBy(*keys).agg(*medians)
+
+
+def with_medians(stats: DataFrame, df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """``stats``, one row for each group, with the medians of its groups; null groups find theirs."""
+    medians = grouped_medians(df, keys, values).withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    return stats.join(medians, same, "left").drop(*[f"_m_{k}" for k in keys])
+
+
+def _overall(df: DataFrame, value: Column, ranks: Column) -> DataFrame:
+    """rank_tag, v over the whole table, in one plan: the located buckets come as a scalar subquery, one row by nature."""
+    marked = _bucketed(df.select(value.cast("double").alias("v"), F.lit(1).cast("bigint").alias("n")).filter(is_finite(F.col("v"))))
+    places = _located(marked, [], ranks).agg(F.collect_list(F.struct("_s", "_b", "below", "rank_tag", "rank")).alias("p")).scalar()
+    here = marked.withColumn("_p", places).filter(F.exists("_p", lambda p: (p["_s"] == F.col("_s")) & (p["_b"] == F.col("_b"))))
+    found = here.withColumn("_q", F.explode("_p")).filter((F.col("_q._s") == F.col("_s")) & (F.col("_q._b") == F.col("_b")))
+    return _within(found.select("v", "n", "_q.below", "_q.rank_tag", "_q.rank"), [])
+
+
+def nearest_rank(df: DataFrame, value: Column, quantiles: dict[str, float]) -> DataFrame:
+    """tag, v: nearest-rank quantiles over the whole table, the element at 0-based index round(q * (n - 1)), halves away
+    from zero. No values, no rows."""
     n = F.col("total") - 1
     ranks = F.array(*[F.struct(F.lit(t).alias("tag"), F.floor(n * F.lit(float(q)) + F.lit(0.5)).alias("rank")) for t, q in quantiles.items()])
-    return select_ranks(counts, keys or [], ranks)
+    return _overall(df, value, ranks).withColumnRenamed("rank_tag", "tag")
 
 
-def exact_medians(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The mean of the middle two (one, for an odd number). Result: keys, ``median``."""
-    keys = keys or []
-    n = F.col("total") - 1
-    ranks = F.array(*[F.struct(F.lit(t).alias("tag"), f.alias("rank")) for t, f in (("lo", F.floor(n / 2)), ("hi", F.ceil(n / 2)))])
-    return select_ranks(counts, keys, ranks).groupBy(*keys).agg(F.avg("v").alias("median"))
+def median(df: DataFrame, value: Column) -> Column:
+    """The exact median over the whole table as a scalar subquery, null where there is no value."""
+    return _overall(df, value, _middle()).agg(F.avg("v")).scalar()

@@ -7,39 +7,33 @@ from pyspark.sql import functions as F
 
 from leasemill.functions.exprs import pct_change, psf, valid_area, valid_rent
 from leasemill.operators.market import require, share_of
+from leasemill.operators.ranks import with_medians
 
 
 def usage_report(df: DataFrame, report_date: Column | None = None) -> DataFrame:
-    """Rent, area and unbanded psf by usage, in one pass over one scan.
+    """Rent, area and unbanded psf by usage. Ordered by count.
 
-    Area figures ignore whether the rent is valid; usages without any valid rent do not come out. Ordered by count.
+    Area figures ignore whether the rent is valid; usages without any valid rent do not come out. All figures but the
+    medians come from one aggregation; the medians are selected in a second pass (see ``ranks``), so that no group, however
+    large, is held in memory.
     """
     require(df, "annual_amount", "property_usage_en")
+    rows = df.filter(F.col("property_usage_en").isNotNull())
     ok, rent = valid_rent(), F.col("annual_amount")
     valid = F.when(ok, rent)
-    aggs = [
-        F.count_if(ok).alias("no_of_contracts"),
-        F.avg(valid).alias("avg_rent"),
-        F.median(valid).alias("median_rent"),
-        F.min(valid).alias("min_rent"),
-        F.max(valid).alias("max_rent"),
-        F.stddev_samp(valid).alias("std_rent"),
-    ]
+    figures = {"no_of_contracts": F.count_if(ok), "avg_rent": F.avg(valid), "min_rent": F.min(valid), "max_rent": F.max(valid), "std_rent": F.stddev_samp(valid)}
+    medians = {"median_rent": valid}
+    shown = ["property_usage_en", "no_of_contracts", "avg_rent", "median_rent", "min_rent", "max_rent", "std_rent", "market_share_pct"]
     if "actual_area" in df.columns:
         area = F.when(valid_area(), F.col("actual_area"))
-        aggs += [
-            F.avg(area).alias("avg_area_sqft"),
-            F.median(area).alias("median_area_sqft"),
-            F.avg(psf()).alias("avg_psf"),
-            F.median(psf()).alias("median_psf"),
-        ]
-    stats = df.filter(F.col("property_usage_en").isNotNull()).groupBy("property_usage_en").agg(*aggs)
-    stats = stats.filter(F.col("no_of_contracts") > 0)
-    at = stats.columns.index("std_rent") + 1
-    stats = stats.withColumn("market_share_pct", share_of("no_of_contracts"))
-    order = [*stats.columns[:at], "market_share_pct", *stats.columns[at:-1]]
+        figures |= {"avg_area_sqft": F.avg(area), "avg_psf": F.avg(psf())}
+        medians |= {"median_area_sqft": area, "median_psf": psf()}
+        shown += ["avg_area_sqft", "median_area_sqft", "avg_psf", "median_psf"]
+    stats = rows.groupBy("property_usage_en").agg(*[c.alias(n) for n, c in figures.items()]).filter(F.col("no_of_contracts") > 0)
     return (
-        stats.select(*order)
+        with_medians(stats, rows, ["property_usage_en"], medians)
+        .withColumn("market_share_pct", share_of("no_of_contracts"))
+        .select(*shown)
         .withColumn("report_date", F.current_date() if report_date is None else report_date)
         .orderBy(F.desc_nulls_first("no_of_contracts"), "property_usage_en")
     )

@@ -205,7 +205,7 @@ def queries() -> dict[str, Query]:
         "compare_periods": on_contracts(_compare),
         "enrich": on_contracts(_enrich),
         "area_tiers_and_types": on_contracts(_types),
-        "quantile_nearest": on_contracts(lambda df: ranks.nearest_rank(ranks.value_counts(df, "annual_amount", where=X.valid_rent()), {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q80": 0.8})),
+        "quantile_nearest": on_contracts(lambda df: ranks.nearest_rank(df.filter(X.valid_rent()), F.col("annual_amount"), {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q80": 0.8})),
         "dq_profile": on_contracts(quality.profile),
         "dq_findings": on_contracts(lambda df: rounded(quality.findings(df).drop("message"), "pct")),
         "dq_findings_strict": on_contracts(lambda df: quality.findings(df, strict=True).select("rule", "field", "severity", "n_bad")),
