@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leasemill.functions.exprs import strip
-from leasemill.session import ship_package
+from leasemill.operators.bits import bit_words, might_hold
+from leasemill.session import persist_table, ship_package
 
 #: Rows that one bucket should hold on average; a bucket's arrays take about 100 bytes a row while it is worked on.
 ROWS_PER_BUCKET = 500_000
@@ -145,7 +146,7 @@ def changes(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
         dates_known = df.filter(F.lit(False))
         c = F.col
         return dates_known.select("snapshot_date", line_id().alias("contract_id"), "line_number", F.lit("").alias("change_kind"), *[c(x).alias(f"{side}_{x}") for side in ("old", "new") for x in ("annual_amount", "contract_end_date")])
-    diff = differing_keys(df, dates, rows_per_bucket)
+    diff = persist_table(differing_keys(df, dates, rows_per_bucket), "differing")
     days = F.array(*[F.lit(d) for d in dates])
     day = F.element_at(days, F.col("later") + 1)
     previous = F.element_at(days, F.col("later"))
@@ -170,6 +171,8 @@ def changes(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
         F.xxhash64(*_flagged(F.round(F.col("annual_amount"), 2) + F.lit(0.0), F.col("contract_end_date"))).alias("v"),
         F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62))).alias("t"),
     )
+    # Rows of lines that did not differ are dropped before the shuffle, as far as a bit array of fixed size can tell.
+    full = might_hold(full, bit_words(wanted, "k1"), "k1")
     found = full.join(wanted, ["k1", "k2", "snapshot_date", "v", "t"])
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
     kinds = F.array(*[F.lit(str(k)) for k in KINDS])

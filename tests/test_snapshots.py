@@ -83,3 +83,17 @@ def test_columns_of_both_forms_agree(spark):
     t = datetime(2025, 1, 1)
     two = frame(spark, [(D(2025, 1, 1), "A", 1, 1.0, None, t), (D(2025, 2, 1), "A", 1, 1.0, None, t)])
     assert S.changes(two).columns == S.changes(two.filter("snapshot_date < '2025-02-01'")).columns and S.changes(two).count() == 0
+
+
+def test_bits(spark):
+    from leasemill.operators.bits import bit_words, might_hold
+
+    keys = spark.range(200).selectExpr("xxhash64(id) AS k").unionByName(spark.createDataFrame([(None,), (-1,), (2**63 - 1,)], "k bigint"))
+    every = spark.range(2000).selectExpr("xxhash64(id) AS k", "id")
+    for bits in (64, 1024, 1 << 20):
+        words = bit_words(keys, "k", bits)
+        assert words.count() <= bits / 64
+        passed = {r.id for r in might_hold(every, words, "k", bits).collect()}
+        assert set(range(200)) <= passed
+    assert len(passed) < 220
+    assert might_hold(keys, bit_words(keys, "k"), "k").count() == 202
