@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.llm.encode import prepare
+from leasemill.operators.bits import bit_words
 from leasemill.session import persist_table
 
 CLOSERS = frozenset(".!?؟。۔।॥")
@@ -237,11 +238,9 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
 def wanted_bits(open_tails: DataFrame) -> np.ndarray:
     """A bit array of fixed size with a bit for each key that is asked for; BITS / 8 bytes, whatever the number of texts."""
-    place = F.pmod(F.col("key"), F.lit(BITS))
-    words = open_tails.select(F.explode(F.array(*KEYS)).alias("key")).filter(F.col("key").isNotNull()).select(F.shiftright(place, 5).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(key, {BITS}) % 32 as int))").alias("b"))
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(BITS // 32, np.uint32)
-    out[rows.column("w").to_numpy()] = rows.column("b").to_numpy().astype(np.uint32)
+    rows = bit_words(open_tails.select(F.explode(F.array(*KEYS)).alias("key")), "key", BITS).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
     return out
 
 
@@ -257,7 +256,7 @@ def corpus_counts(df: DataFrame, bits, text: str = "text") -> DataFrame:
 
         def asked(k: np.ndarray) -> np.ndarray:
             p = k & np.uint64(BITS - 1)
-            return (wanted[(p >> np.uint64(5)).astype(np.int64)] >> (p & np.uint64(31)).astype(np.uint32)) & 1 == 1
+            return (wanted[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
 
         def add(k: np.ndarray, e: np.ndarray, m: np.ndarray) -> None:
             nonlocal held

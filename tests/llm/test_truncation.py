@@ -134,5 +134,5 @@ def test_bits_pass_what_is_asked(spark, corpus):
     assert bits.nbytes == X.BITS // 8
     asked = {k for r in open_tails.select(*X.KEYS).collect() for k in r if k is not None}
     few = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(bits)).collect() if r.key in asked}
-    every = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(np.full(X.BITS // 32, 0xFFFFFFFF, np.uint32))).collect() if r.key in asked}
+    every = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(np.full(X.BITS // 64, 0xFFFFFFFFFFFFFFFF, np.uint64))).collect() if r.key in asked}
     assert few == every
