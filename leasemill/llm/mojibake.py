@@ -47,8 +47,8 @@ SCALE = 8
 
 COMMON, SIGNS = 0x700, (0x2000, 0x2700)
 _BLOCK0 = COMMON + SIGNS[1] - SIGNS[0]
-#: Blocks of 256 up to U+FFFF, and the sixteen planes beyond.
-SYMBOLS = _BLOCK0 + 256 + 16
+#: Blocks of 256 up to U+FFFF, the sixteen planes beyond, and the replacement character.
+SYMBOLS = _BLOCK0 + 256 + 16 + 1
 LOST = "�"
 
 
@@ -63,6 +63,7 @@ def symbol_table() -> np.ndarray:
         out[c] = 0x30
     for c in (0x09, 0x0A, 0x0D, 0x2028, 0x2029):
         out[c] = 0x20
+    out[0xFFFD] = SYMBOLS - 1
     return out
 
 
@@ -96,6 +97,12 @@ def pair_weights(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
         pmi = np.log2(n * total / (first[a] * second[b]))
         shrunk = (n * pmi + SHRINK * FLOOR) / (n + SHRINK)
         out[a, b] = np.clip(np.rint((-shrunk - MARGIN) * SCALE), -127, 127)
+    # Marks of lost characters are never to be expected, even if the corpus has lost some: a replacement character beside
+    # anything, and a question mark before another one or before a letter.
+    never = int((-FLOOR - MARGIN) * SCALE)
+    out[SYMBOLS - 1, :] = out[:, SYMBOLS - 1] = never
+    letters = np.array([c for c in range(COMMON) if c == 0x3F or chr(c).isalpha()])
+    out[0x3F, letters] = np.maximum(out[0x3F, letters], never)
     return out
 
 

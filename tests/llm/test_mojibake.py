@@ -90,6 +90,15 @@ def test_parts_and_losses(judge):
         assert found and mapping and restored is None, lost
 
 
+def test_losses_in_the_corpus_hide_none(spark):
+    lossy = CORPUS + ["يبلغ مبلغ التأمين � دفين� ???? وين? د?ين سهو�"] * 500
+    j = M.Judge(M.corpus_pairs(spark.createDataFrame([(t,) for t in lossy], "text string"), "text"))
+    for lost in ("???? ????", "سهو� دفين", "سهول د?ين", "��� ����"):
+        assert j.judge(lost)[0], lost
+    for name in SOUND:
+        assert not j.judge(name)[0], name
+
+
 def test_sound_names_stay(judge):
     for name in [*SOUND, *NAMES, None]:
         assert judge.judge(name) == (False, None, None), name
