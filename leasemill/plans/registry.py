@@ -459,14 +459,14 @@ def oracle_sql() -> dict[str, str]:
         "dq_date_order": f"SELECT {line} FROM rent_contracts WHERE contract_end_date <= contract_start_date",
         "dq_outliers": OUTLIERS,
         "load_stats": """WITH u AS (SELECT property_usage_en, count(*) AS c FROM rent_contracts GROUP BY 1 ORDER BY c DESC, property_usage_en NULLS FIRST LIMIT 1)
-            SELECT count(*) AS n_rows, 43 AS n_columns, count(*) FILTER (annual_amount IS NULL) AS null_rents, min(annual_amount) AS min_rent, max(annual_amount) AS max_rent, round(avg(annual_amount), 4) AS avg_rent, round(median(annual_amount), 4) AS median_rent,
+            SELECT count(*) AS n_rows, CAST(43 AS BIGINT) AS n_columns, count(*) FILTER (annual_amount IS NULL) AS null_rents, min(annual_amount) AS min_rent, max(annual_amount) AS max_rent, round(avg(annual_amount), 4) AS avg_rent, round(median(annual_amount), 4) AS median_rent,
             (SELECT property_usage_en FROM u) AS top_usage, (SELECT c FROM u) AS top_usage_n FROM rent_contracts""",
         "top_usages": "SELECT property_usage_en, count(*) AS n FROM rent_contracts GROUP BY 1 ORDER BY n DESC, property_usage_en NULLS FIRST LIMIT 5",
         "sql_facade": "SELECT area_name_en, count(*) AS n, max(annual_amount) AS top_rent FROM rent_contracts WHERE property_usage_en = 'Residential' GROUP BY 1",
         **dims,
-        "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date, year(d) AS year, month(d) AS month, day(d) AS day_of_month, quarter(d) AS quarter, dayofweek(d) + 1 AS day_of_week
+        "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day_of_month, CAST(quarter(d) AS INTEGER) AS quarter, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week
             FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS d)""",
-        "dim_sequence_key": f"SELECT count(*) AS n, 1 AS lo, count(*) AS hi, count(*) AS n_keys FROM (SELECT DISTINCT {', '.join(DIMENSIONS['project'])} FROM rent_contracts)",
+        "dim_sequence_key": f"SELECT count(*) AS n, CAST(1 AS BIGINT) AS lo, count(*) AS hi, count(*) AS n_keys FROM (SELECT DISTINCT {', '.join(DIMENSIONS['project'])} FROM rent_contracts)",
         "fact_contract": "SELECT tenant_type_en, property_usage_en, project_name_en, contract_start_date, contract_end_date, CAST(strftime(contract_start_date, '%Y%m%d') AS INTEGER) AS start_date_key, CAST(strftime(contract_end_date, '%Y%m%d') AS INTEGER) AS end_date_key, annual_amount, line_number FROM rent_contracts",
         "fact_multiplicities": _multiplicity_sql(),
         "star_usage_rollup": f"SELECT property_usage_en, count(*) AS contracts, round(avg(annual_amount), 4) AS avg_rent FROM rent_contracts WHERE {RENT} GROUP BY 1",
