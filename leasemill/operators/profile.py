@@ -72,22 +72,32 @@ def merge(*parts: DataFrame) -> DataFrame:
 
 
 class CountStore:
-    """Versions of a state below one folder. A version is complete or absent: it is written under a new name, and only its
-    success marker makes it readable; a lost executor only repeats its tasks."""
+    """Versions of a state below one folder: ``v1``, ``v2`` and so on. A version counts only once its success marker is
+    there; a lost executor only repeats its tasks, and a lost driver finds the newest whole version again."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.version = spark, path or shared_path(spark, "counts"), 0
+        self.spark, self.path = spark, path or shared_path(spark, "counts")
+        self.version = self._newest() if path else 0
+
+    def _newest(self) -> int:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        pattern = hadoop.Path(f"{self.path}/v*/_SUCCESS")
+        whole = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return max((int(f.getPath().getParent().getName()[1:]) for f in whole or []), default=0)
 
     def read(self) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], STATE)
         return self.spark.read.schema(STATE).parquet(f"{self.path}/v{self.version}")
 
-    def apply(self, *deltas: DataFrame) -> DataFrame:
-        """Add deltas to the newest version and return the new one. Deltas are distinct in their keys already, so a first
-        single delta is stored as it is."""
+    def apply(self, *deltas: DataFrame, onto: int | None = None) -> DataFrame:
+        """Add deltas to the newest version, or to the version ``onto``, and return the next one. Repeating a call with the
+        same ``onto`` replaces what it wrote, so that a replayed load counts once. A delta is distinct in its keys already:
+        a first single one is stored as it is."""
+        if onto is not None:
+            self.version = onto
         new = deltas[0] if not self.version and len(deltas) == 1 else merge(*([self.read()] if self.version else []), *deltas)
-        new.write.parquet(f"{self.path}/v{self.version + 1}")
+        new.write.mode("overwrite").parquet(f"{self.path}/v{self.version + 1}")
         self.version += 1
         return self.read()
 

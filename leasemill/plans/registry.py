@@ -222,7 +222,7 @@ def queries() -> dict[str, Query]:
         "dim_date": lambda spark, sf_dir: star.dim_date(spark),
         "dim_sequence_key": on_contracts(lambda df: star.sequence_key(df.select(*DIMENSIONS["project"]).distinct(), DIMENSIONS["project"], "project_seq").agg(F.count("*").alias("n"), F.min("project_seq").alias("lo"), F.max("project_seq").alias("hi"), F.count_distinct("project_seq").alias("n_keys"))),
         "fact_contract": on_contracts(_fact),
-        "fact_multiplicities": on_contracts(star.multiplicities),
+        "fact_contract_as_written": on_contracts(star.multiplicities),
         "star_usage_rollup": on_contracts(lambda df: rounded(star.usage_rollup(star.fact(df), star.dimension(df, "property")), "avg_rent")),
         "dq_keys": on_contracts(lambda df: star.key_violations(df, ["contract_id", "line_number"])),
         "dq_orphans": on_contracts(lambda df: star.orphans(star.fact(df), star.dimension(df, "project").filter(F.col("project_number").isNotNull()), "project_key").groupBy("line_number").agg(F.count("*").alias("n"))),
@@ -468,7 +468,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS d)""",
         "dim_sequence_key": f"SELECT count(*) AS n, CAST(1 AS BIGINT) AS lo, count(*) AS hi, count(*) AS n_keys FROM (SELECT DISTINCT {', '.join(DIMENSIONS['project'])} FROM rent_contracts)",
         "fact_contract": "SELECT tenant_type_en, property_usage_en, project_name_en, contract_start_date, contract_end_date, CAST(strftime(contract_start_date, '%Y%m%d') AS INTEGER) AS start_date_key, CAST(strftime(contract_end_date, '%Y%m%d') AS INTEGER) AS end_date_key, annual_amount, line_number FROM rent_contracts",
-        "fact_multiplicities": _multiplicity_sql(),
+        "fact_contract_as_written": _multiplicity_sql(),
         "star_usage_rollup": f"SELECT property_usage_en, count(*) AS contracts, round(avg(annual_amount), 4) AS avg_rent FROM rent_contracts WHERE {RENT} GROUP BY 1",
         "dq_keys": "SELECT contract_id, line_number, count(*) AS n FROM rent_contracts GROUP BY 1, 2 HAVING count(*) > 1 OR contract_id IS NULL OR line_number IS NULL",
         "dq_orphans": "SELECT line_number, count(*) AS n FROM rent_contracts WHERE project_number IS NULL GROUP BY 1",

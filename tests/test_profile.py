@@ -67,6 +67,20 @@ def test_signed_deltas(spark):
     assert {r.n for r in under.collect()} == {-1}
 
 
+def test_versions_survive_and_replays_count_once(spark):
+    from leasemill.session import shared_path
+
+    path = shared_path(spark, "store")
+    store = P.CountStore(spark, path)
+    one, two = (P.delta(frame(spark, [(g, 1.0, "A")]), RULES, "load") for g in (1, 2))
+    store.apply(one, onto=0)
+    store.apply(two, onto=1)
+    again = P.CountStore(spark, path)
+    assert again.version == 2 and {r.grp for r in again.read().collect()} == {1, 2}
+    again.apply(two, onto=1)
+    assert {r.n for r in again.read().collect()} == {1} and P.CountStore(spark, path).version == 2
+
+
 def test_total_equals_ungrouped(spark):
     df = frame(spark, ROWS)
     a = {(r.column_name, r.num, r.txt): r.n for r in P.total(P.delta(df, RULES, "load")).collect()}
