@@ -7,15 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leasemill.llm import encode, mojibake, packing, truncation
+from leasemill.llm import encode, mojibake, packing, sketch, truncation
+from leasemill.plans.registry import OFF_TIES, rounded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 #: Table, key and field of problem 2.
 NAMES = [
     ("dim_project", "project_key", "project_name_ar"),
@@ -43,6 +40,25 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled_names(spark, sf_dir).filter("garbled").drop("garbled")
 
 
+QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the rent by usage and area, from sketches made by load and then merged."""
+    keys = ["property_usage_en", "area_name_en"]
+    by_load = sketch.build(table(spark, sf_dir, "rent_contracts"), ["load_id", *keys], "annual_amount")
+    merged = sketch.merge([by_load], keys)
+    return rounded(sketch.percentiles(merged, keys, QUANTILES), "value", "low", "high")
+
+
+def p5_by(key: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        by_load = sketch.build(table(spark, sf_dir, "rent_contracts"), ["load_id", key], "annual_amount")
+        return rounded(sketch.percentiles(sketch.merge([by_load], [key]), [key], QUANTILES), "value", "low", "high")
+
+    return query
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(table(spark, sf_dir, "documents"))
 
@@ -72,6 +88,9 @@ def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found,
         "p2_restored": p2_restored,
+        "p5_percentiles": p5_percentiles,
+        "p5_by_usage": p5_by("property_usage_en"),
+        "p5_by_area": p5_by("area_name_en"),
         "p6_ids": p6_ids,
         "p6_decoded": p6_decoded,
         "p7_packed": p7_packed,
@@ -81,7 +100,22 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _p5_sql(keys: list[str]) -> str:
+    k = ", ".join(keys)
+    g = (1 + sketch.ALPHA) / (1 - sketch.ALPHA)
+    qs = " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS q" for q in QUANTILES)
+    on = " AND ".join(f"s.{c} IS NOT DISTINCT FROM z.{c}" for c in keys)
+    return f"""WITH x AS (SELECT {k}, annual_amount AS a, annual_amount IS NOT NULL AND NOT isnan(annual_amount) AND NOT isinf(annual_amount) AS ok FROM rent_contracts),
+    z AS (SELECT {k}, count(*) FILTER (ok) AS n_values, count(*) FILTER (NOT ok) AS n_skipped FROM x GROUP BY ALL),
+    s AS (SELECT {k}, a, row_number() OVER (PARTITION BY {k} ORDER BY a) - 1 AS r FROM x WHERE ok),
+    qs AS ({qs}),
+    p AS (SELECT {', '.join(f'z.{c}' for c in keys)}, n_values, n_skipped, q, a FROM z JOIN qs ON true LEFT JOIN s ON {on} AND s.r = floor(q * (n_values - 1))),
+    e AS (SELECT *, CASE WHEN a = 0 THEN 0.0 WHEN a IS NOT NULL THEN sign(a) * pow({g!r}, ceil(ln(abs(a)) / ln({g!r}))) * 2.0 / ({g!r} + 1.0) END AS est FROM p)
+    SELECT {k}, n_values, n_skipped, q, round(est, 4) AS value, round(least(est / {1 + sketch.ALPHA}, est / {1 - sketch.ALPHA}), 4) AS low, round(greatest(est / {1 + sketch.ALPHA}, est / {1 - sketch.ALPHA}), 4) AS high FROM e"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    sketches = {"p5_percentiles": _p5_sql(["property_usage_en", "area_name_en"]), "p5_by_usage": _p5_sql(["property_usage_en"]), "p5_by_area": _p5_sql(["area_name_en"])}
+    return {k: v.replace(", 4)", f" + {OFF_TIES}, 4)") for k, v in sketches.items()} | {
         "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     }
