@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leasemill.functions import exprs as X
 from leasemill.operators import enrich as E
 from leasemill.operators import market as M
-from leasemill.operators import parse, profile, quality, ranks, sketch, snapshots, star, usage
+from leasemill.operators import parse, profile, quality, ranks, snapshots, star, usage
 from leasemill.plans.sqlapi import run_sql
 from leasemill.schema import DIMENSIONS, JOIN_KEYS
 from leasemill.settings import (
@@ -167,25 +167,6 @@ def p4_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.valid_rows(parse.parse_records(table(spark, sf_dir, "rent_contracts_raw")))
 
 
-QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
-
-
-def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles of the rent by usage and area, from sketches made by load and then merged."""
-    keys = ["property_usage_en", "area_name_en"]
-    by_load = sketch.build(contracts(spark, sf_dir), ["load_id", *keys], "annual_amount")
-    merged = sketch.merge([by_load], keys)
-    return rounded(sketch.percentiles(merged, keys, QUANTILES), "value", "low", "high")
-
-
-def p5_by(key: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        by_load = sketch.build(contracts(spark, sf_dir), ["load_id", key], "annual_amount")
-        return rounded(sketch.percentiles(sketch.merge([by_load], [key]), [key], QUANTILES), "value", "low", "high")
-
-    return query
-
-
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "scan_filter_project": on_contracts(lambda df: df.filter((F.col("property_usage_en") == "Residential") & (F.col("annual_amount") > 100000)).select("contract_id", "line_number", "annual_amount")),
@@ -237,9 +218,6 @@ def queries() -> dict[str, Query]:
         "p3_values": p3_values,
         "p4_found": p4_found,
         "p4_valid": p4_valid,
-        "p5_percentiles": p5_percentiles,
-        "p5_by_usage": p5_by("property_usage_en"),
-        "p5_by_area": p5_by("area_name_en"),
     }
     from leasemill.plans import files
 
@@ -396,20 +374,6 @@ P4_VALID = P4_BASE + "SELECT raw_id, " + ", ".join(
 ) + " FROM r WHERE reason IS NULL"
 
 
-def _p5_sql(keys: list[str]) -> str:
-    k = ", ".join(keys)
-    g = (1 + sketch.ALPHA) / (1 - sketch.ALPHA)
-    qs = " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS q" for q in QUANTILES)
-    on = " AND ".join(f"s.{c} IS NOT DISTINCT FROM z.{c}" for c in keys)
-    return f"""WITH x AS (SELECT {k}, annual_amount AS a, annual_amount IS NOT NULL AND NOT isnan(annual_amount) AND NOT isinf(annual_amount) AS ok FROM rent_contracts),
-    z AS (SELECT {k}, count(*) FILTER (ok) AS n_values, count(*) FILTER (NOT ok) AS n_skipped FROM x GROUP BY ALL),
-    s AS (SELECT {k}, a, row_number() OVER (PARTITION BY {k} ORDER BY a) - 1 AS r FROM x WHERE ok),
-    qs AS ({qs}),
-    p AS (SELECT {', '.join(f'z.{c}' for c in keys)}, n_values, n_skipped, q, a FROM z JOIN qs ON true LEFT JOIN s ON {on} AND s.r = floor(q * (n_values - 1))),
-    e AS (SELECT *, CASE WHEN a = 0 THEN 0.0 WHEN a IS NOT NULL THEN sign(a) * pow({g!r}, ceil(ln(abs(a)) / ln({g!r}))) * 2.0 / ({g!r} + 1.0) END AS est FROM p)
-    SELECT {k}, n_values, n_skipped, q, round(est, 4) AS value, round(least(est / {1 + sketch.ALPHA}, est / {1 - sketch.ALPHA}), 4) AS low, round(greatest(est / {1 + sketch.ALPHA}, est / {1 - sketch.ALPHA}), 4) AS high FROM e"""
-
-
 def oracle_sql() -> dict[str, str]:
     line = ", ".join(LINE)
     dims = {f"dim_{n}": f"SELECT DISTINCT {', '.join(c)} FROM rent_contracts" for n, c in DIMENSIONS.items()}
@@ -483,9 +447,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_values": P3_BASE + "SELECT d AS snapshot_date, contract_id, line_number, change_kind, old_annual_amount, old_contract_end_date, new_annual_amount, new_contract_end_date FROM diff",
         "p4_found": P4_BASE + "SELECT raw_id, reason FROM r WHERE reason IS NOT NULL",
         "p4_valid": P4_VALID,
-        "p5_percentiles": _p5_sql(["property_usage_en", "area_name_en"]),
-        "p5_by_usage": _p5_sql(["property_usage_en"]),
-        "p5_by_area": _p5_sql(["area_name_en"]),
     }
     from leasemill.plans import files
 
