@@ -34,13 +34,14 @@ def stream_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_usage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windowed counts over the contracts as a stream, all rows; the update stream's last state of each window."""
+    """Windowed counts over the contracts as a stream; the update stream's last state of each window. The watermark is so
+    far back that no row of the table is late, in whatever order its files come."""
     source = f"{sf_dir}/rent_contracts.parquet"
     schema = spark.read.parquet(source).schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/rent_contracts.parquet*")
     target, progress = shared_path(spark, "windows"), shared_path(spark, "progress")
     timed = rows.filter(F.col("ingestion_timestamp").isNotNull()).withColumn("at", F.col("ingestion_timestamp").cast("timestamp"))
-    out = usage_counts(timed, "at")
+    out = usage_counts(timed, "at", late_by="36500 days")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch={number}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -54,14 +55,19 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, wherever they start; once for each application."""
+    """Give the Python workers this package, wherever they start: a zip in the shared folder, once for each application."""
     sc = spark.sparkContext
     if getattr(sc, "_leasemill_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="leasemill-ship-")) / "leasemill.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, os.path.join(root.name, file.relative_to(root)))
-    sc.addPyFile(str(target))
+    target = f"{shared_path(spark, 'package')}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target)
     sc._leasemill_shipped = True
