@@ -25,6 +25,8 @@ from leasemill.session import persist_table, ship_package
 
 #: Rows that one bucket should hold on average; a bucket's arrays take about 100 bytes a row while it is worked on.
 ROWS_PER_BUCKET = 500_000
+#: Rows that a task looks at together before the shuffle.
+ROWS_THINNED = 500_000
 KINDS = np.array(["added", "removed", "changed"])
 
 
@@ -62,14 +64,24 @@ def _holders(snap, k1, k2, t, v) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _thin(batches):
-    """Of the rows of one key and snapshot in a batch only the holding one goes on, so that a line delivered without end
-    costs one row for each batch."""
+    """Of the rows of one key and snapshot among ``ROWS_THINNED`` rows only the holding one goes on, so that a line delivered
+    without end costs one row for each such portion."""
+    held, n = [], 0
+
+    def thinned():
+        rows = pa.Table.from_batches(held).combine_chunks()
+        arrays = [rows.column(c).to_numpy() for c in ("snap", "k1", "k2", "t", "v")]
+        keep, _ = _holders(*arrays)
+        return rows.take(pa.array(np.sort(keep))).to_batches()
+
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        arrays = [batch.column(i).cast(pa.int64()).to_numpy(zero_copy_only=False) for i in range(1, 6)]
-        keep, _ = _holders(arrays[0], arrays[1], arrays[2], arrays[4], arrays[3])
-        yield batch.take(pa.array(keep))
+        held.append(batch)
+        n += batch.num_rows
+        if n >= ROWS_THINNED:
+            yield from thinned()
+            held, n = [], 0
+    if n:
+        yield from thinned()
 
 
 def _difference(table: pa.Table) -> pa.Table:
