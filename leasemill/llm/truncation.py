@@ -41,6 +41,8 @@ COLON = frozenset(":：")
 #: Characters without a look of their own.
 INVISIBLE = regex.compile(r"[\p{Cf}ـ️]+")
 CORE = regex.compile(r"[\p{L}\p{M}\p{N}](?:.*[\p{L}\p{M}\p{N}])?", regex.S)
+#: What stands after the last word; texts that differ in nothing else are copies of each other.
+LAST_OF_WORD = regex.compile(r"(?r)[\p{L}\p{M}\p{N}]")
 DIGIT = regex.compile(r"\p{Nd}")
 BROKEN = "�"
 #: Kinds of tokens: without a word (joint, break, ellipsis, closing mark, end of the text), and words by what follows them.
@@ -222,7 +224,7 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                 dangling.append(bool(plain) and plain[-1] in HANGING)
                 ellipsis.append(bool(kind == ELLIPSIS or (rest == GAP).any()))
             columns = [pa.array([len(texts[r]) for r in rows], pa.int64()), pa.array([len(texts[r].encode("utf-8", "surrogatepass")) for r in rows], pa.int64())]
-            columns.append(pa.array(_signed(np.array([word_hash(texts[r]) for r in rows], np.uint64)), pa.int64()))
+            columns.append(pa.array(_signed(np.array([word_hash(texts[r][: LAST_OF_WORD.search(texts[r]).end()]) for r in rows], np.uint64)), pa.int64()))
             columns += [pa.array(x, pa.bool_()) for x in (closed, broken, dangling, ellipsis)]
             columns += [pa.array(_signed(context_keys(s, at, k)), pa.int64()) for k in ORDERS]
             has_before = at > s["start"][at]
@@ -327,8 +329,10 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     unclosed = every.filter(~F.col("closed") | F.col("broken"))
     bits = spark.sparkContext.broadcast(wanted_bits(unclosed))
     counts = corpus_counts(columns, bits)
-    # Different texts with the same unclosed end are evidence of an end, as far as there are others.
-    finals = unclosed.select(F.explode(F.array(*[f"c{k}" for k in ORDERS], "before5")).alias("key"), "text_hash").distinct().groupBy("key").agg(F.count("*").alias("finals"))
+    # Other texts with the same unclosed end are evidence of an end. They count as often as they occur, as all of the corpus
+    # does, but for the copies of the text in question.
+    finals = unclosed.select(F.explode(F.array(*[f"c{k}" for k in ORDERS], "before5")).alias("key")).groupBy("key").agg(F.count("*").alias("finals"))
+    copies = unclosed.groupBy("text_hash").agg(F.count("*").alias("copies"))
     shapes = unclosed.select(*KEYS).distinct()
     shapes = shapes.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))]))
     asks = shapes.select("shape", F.posexplode(F.array(*KEYS)).alias("slot", "key")).filter(F.col("key").isNotNull())
@@ -339,7 +343,7 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         for c in ("ended", "went_on", "finals"):
             aggs.append(zero(c).alias(f"{k}_{c}"))
     facts = told.groupBy("shape").agg(*aggs)
-    rows = unclosed.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))])).join(facts, "shape", "left")
+    rows = unclosed.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))])).join(facts, "shape", "left").join(copies, "text_hash")
     for length in ("n_chars_", "n_bytes"):
         piles = piled_lengths(unclosed, length)
         rows = rows.join(piles, F.col("source").eqNullSafe(F.col("_source")) & (F.col(length) == F.col("_length")), "left").withColumn(f"pile_{length}", F.col("_length").isNotNull()).drop("_source", "_length")
@@ -353,7 +357,7 @@ def evidence(rows: DataFrame) -> Column:
     c = F.col
     piled = c("pile_n_chars_") | c("pile_n_bytes")
     hint = piled | c("ellipsis") | c("dangling")
-    others, near = (F.greatest(c(x) - 1, F.lit(0)) for x in ("c5_finals", "before5_finals"))
+    others, near = (F.greatest(c(x) - c("copies"), F.lit(0)) for x in ("c5_finals", "before5_finals"))
     # What else could stand there: all that goes on after the words before, or, at the start of a sentence, the longer words.
     rivals = F.when(c("before5").isNull(), c("prefix_went_on")).otherwise(c("before5_went_on"))
     usual = F.when(c("number"), (near >= USUAL_END) & (near >= USUAL_SHARE * c("before5_went_on"))).otherwise((others >= USUAL_END) & (others >= USUAL_SHARE * rivals))

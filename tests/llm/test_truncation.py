@@ -136,3 +136,22 @@ def test_bits_pass_what_is_asked(spark, corpus):
     few = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(bits)).collect() if r.key in asked}
     every = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(np.full(X.BITS // 64, 0xFFFFFFFFFFFFFFFF, np.uint64))).collect() if r.key in asked}
     assert few == every
+
+
+def test_copies_change_nothing(spark, corpus):
+    rows, cut = corpus
+    once = {r.doc_id: r.evidence for r in X.judged(frame(spark, rows + cut)).collect()}
+    marks = ["", " ", "\n", ""]
+    many = [(i + 10_000 * k, s, t if t[-1] in "…." else t + marks[k]) for k in range(4) for i, s, t in rows + cut]
+    copied = {r.doc_id: r for r in X.judged(frame(spark, many)).collect()}
+    changed = [i for i in copied if (once[i % 10_000] is None) == copied[i].truncated]
+    assert len(changed) <= 0.002 * len(copied), changed
+
+
+def test_one_text_is_a_third_of_all(spark, corpus):
+    rows, cut = corpus
+    once = {r.doc_id: r.truncated for r in X.judged(frame(spark, rows + cut)).collect()}
+    hot = [(20_000 + k, "c", cut[0][2]) for k in range(480)]
+    got = {r.doc_id: r.truncated for r in X.judged(frame(spark, rows + cut + hot)).collect()}
+    assert all(got[20_000 + k] == once[cut[0][0]] for k in range(480))
+    assert sum(got[i] != once[i] for i in once) <= 2
