@@ -51,7 +51,7 @@ ORDERS = (5, 3, 2, 1)
 BITS = 1 << 26
 FLUSH = 1_000_000
 MOST_REMEMBERED = 500_000
-START, SALTS = np.uint64(0x9E3779B97F4A7C15), {5: 11, 3: 12, 2: 13, 1: 14}
+START, SALTS = np.uint64(0x9E3779B97F4A7C15), {5: 11, 3: 12, 2: 13, 1: 14, "next": 15}
 
 #: Share of endings below which a context is no place to end, without and with evidence of a cut; and the support it takes.
 RARE_END, DOUBTFUL_END, SUPPORT = 0.03, 0.5, 3
@@ -62,7 +62,7 @@ DOUBTFUL_END_OF_TWO = 0.8
 PILE, PILE_DEVIATIONS, NEIGHBOURS = 5, 4.0, 10
 #: A last word that so many other texts have as their last after the same words, and so often among all that goes on
 #: after those words, is whole, even if it occurs nowhere else. Words with digits count alike whatever the digits.
-USUAL_END, USUAL_SHARE = 2, 0.2
+USUAL_END, USUAL_SHARE = 1, 0.2
 
 
 def word_hash(word: str) -> int:
@@ -160,9 +160,9 @@ def scan(texts: list[str | None], known: _Words) -> dict[str, np.ndarray]:
     return {"num": num, "hash": np.array(known.hashes, np.uint64)[num] if len(num) else num.astype(np.uint64), "kind": kind, "text": text, "went": went, "start": start}
 
 
-def context_keys(s: dict[str, np.ndarray], at: np.ndarray, order: int) -> np.ndarray:
+def context_keys(s: dict[str, np.ndarray], at: np.ndarray, order: int, salt: str | None = None) -> np.ndarray:
     """One key for the ``order`` words up to each position; places before the sentence count as its start."""
-    key = np.full(len(at), SALTS[order], np.uint64)
+    key = np.full(len(at), SALTS[salt or order], np.uint64)
     for back in range(order):
         i = at - back
         inside = i >= s["start"][at]
@@ -184,9 +184,9 @@ TAIL = T.StructType(
     [T.StructField("row", T.LongType()), T.StructField("n_chars_", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("text_hash", T.LongType())]
     + [T.StructField("closed", T.BooleanType()), T.StructField("broken", T.BooleanType()), T.StructField("dangling", T.BooleanType()), T.StructField("ellipsis", T.BooleanType())]
     + [T.StructField(f"c{k}", T.LongType()) for k in ORDERS]
-    + [T.StructField("before5", T.LongType()), T.StructField("before2", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("number", T.BooleanType())]
+    + [T.StructField("before5", T.LongType()), T.StructField("before2", T.LongType()), T.StructField("next5", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("number", T.BooleanType())]
 )
-KEYS = [*(f"c{k}" for k in ORDERS), "before5", "before2", "prefix"]
+KEYS = [*(f"c{k}" for k in ORDERS), "before5", "before2", "next5", "prefix"]
 #: Longer strings are no words; they have no nodes in the trie.
 LONGEST_WORD = 100
 
@@ -229,6 +229,7 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             columns += [pa.array(_signed(context_keys(s, at, k)), pa.int64()) for k in ORDERS]
             has_before = at > s["start"][at]
             columns += [pa.array(_signed(context_keys(s, np.maximum(at - 1, 0), k)), pa.int64(), mask=~has_before) for k in (5, 2)]
+            columns.append(pa.array(_signed(context_keys(s, np.maximum(at - 1, 0), 5, "next")), pa.int64(), mask=~has_before))
             last_words = [known.words[n] for n in s["num"][at].tolist()]
             columns.append(pa.array(_signed(np.array([prefix_key(w) for w in last_words], np.uint64)), pa.int64()))
             columns.append(pa.array(["9" in w for w in last_words], pa.bool_()))
@@ -288,6 +289,8 @@ def corpus_counts(df: DataFrame, bits, text: str = "text") -> DataFrame:
             e, m = (s["went"][at] == 1).astype(float), (s["went"][at] == -1).astype(float)
             for k in ORDERS:
                 add(context_keys(s, at, k), e, m)
+            inner = at > s["start"][at]
+            add(context_keys(s, at[inner] - 1, 5, "next"), e[inner], m[inner])
             numbers, counts = np.unique(s["num"][at], return_counts=True)
             for n in numbers.tolist():
                 if n not in prefixes:
@@ -367,14 +370,23 @@ def evidence(rows: DataFrame) -> Column:
     unknown = (c("c1_ended") + c("c1_went_on")) == 0
     prefix = (c("prefix_went_on") >= 2) & ~usual
     limit = F.when(hint, DOUBTFUL_END).otherwise(RARE_END)
-    seen = F.when(support[5] >= SUPPORT, share[5]).when(support[3] >= SUPPORT, share[3]).when(support[2] >= SUPPORT, share[2])
-    two_only = (support[5] < SUPPORT) & (support[3] < SUPPORT)
+    # How often a sentence ends with the word after the words before, whatever that word is.
+    next_support = c("next5_ended") + c("next5_went_on") + near
+    next_share = F.try_divide((c("next5_ended") + near).cast("double"), next_support)
+    unseen = support[5] < SUPPORT
+    novel = (c("c5_ended") + c("c5_went_on")) == 0
+    # Without a hint a single occurrence of these words says more than many of fewer words.
+    placed = next_support >= F.when(hint, SUPPORT).otherwise(1)
+    seen = F.when(~unseen, share[5]).when(placed, next_share).when(support[3] >= SUPPORT, share[3]).when(support[2] >= SUPPORT, share[2])
+    two_only = unseen & ~placed & (support[3] < SUPPORT)
     limit = F.when(hint & two_only, DOUBTFUL_END_OF_TWO).otherwise(limit)
     after_known = (c("before5_went_on") >= SUPPORT) | ((c("before2_went_on") >= SUPPORT) & ~c("number"))
     return (
         F.when(c("broken"), "broken character")
         .when(unknown & prefix & ~c("number"), "word")
         .when(piled & c("dangling"), "sentence and length")
+        .when(novel & prefix & ~c("number") & (c("before5_went_on") >= SUPPORT), "word in context")
+        .when(hint & unseen & c("number") & prefix & after_known, "word in context")
         .when(seen.isNotNull(), F.when(seen <= limit, F.when(hint, "sentence and length").otherwise("sentence")))
         .when(prefix & after_known, "word in context")
         .when(hint & ~usual, "length")
