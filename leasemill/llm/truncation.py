@@ -4,9 +4,12 @@ The corpus gives two things, both from positions that are not the end of a text.
 nodes: every prefix of a known word with the occurrences of the words below it. And, for the last words of a sentence so
 far (orders 5, 3, 2, 1), how often a sentence ended there and how often it went on. A text without a closing mark is cut
 
-- in a word, if its last word is unknown and a proper prefix of known words, or is such a prefix after words that go on
-  otherwise;
-- in a sentence, if sentences hardly ever end at its last words; the longest context seen often enough counts.
+- in a word, if its last word is unknown and a proper prefix of known words, or is such a prefix after words that never go
+  on with it;
+- in a sentence, if sentences hardly ever end at its last words; or, where the corpus has not seen these often enough, with
+  the word after the words before them; the longest context seen often enough counts.
+
+A word that other texts end with after the same words is whole, even if it occurs nowhere else (a signature, a page footer).
 
 Length is evidence: where a source's unclosed texts pile up at one length (in characters or bytes), or where an ellipsis
 or a dangling comma stands at the end, a smaller share of endings is enough. What stands after the cut (blanks, ellipses,
