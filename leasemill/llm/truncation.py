@@ -12,8 +12,8 @@ far (orders 5, 3, 2, 1), how often a sentence ended there and how often it went
 A word that other texts end with after the same words is whole, even if it occurs nowhere else (a signature, a page footer).
 
 Length is evidence: where a source's unclosed texts pile up at one length (in characters or bytes), or where an ellipsis
-or a dangling comma stands at the end, a smaller share of endings is enough. What stands after the cut (blanks, ellipses,
-broken characters, trailing lines such as a page number) is looked past.
+or a dangling comma stands at the end, a smaller share of endings is enough. Blanks, ellipses and broken characters after
+the cut are looked past.
 
 Only texts without a closing mark are followed up. Corpus counts are combined in each task and shuffled only if their key
 is among the keys asked for, which a bit array of fixed size tells (a false positive costs a row of shuffle, nothing else).
@@ -163,6 +163,21 @@ def scan(texts: list[str | None], known: _Words) -> dict[str, np.ndarray]:
     return {"num": num, "hash": np.array(known.hashes, np.uint64)[num] if len(num) else num.astype(np.uint64), "kind": kind, "text": text, "went": went, "start": start}
 
 
+def ending(text: str | None, known: _Words, least: int = 400) -> str | None:
+    """As much of a text's end as decides what :func:`tails` asks of it: from a blank on, with more words than any context
+    and its start can take. Doubled until that holds, to the whole text if need be; the result is that of the whole text."""
+    size = least
+    while text and size < len(text):
+        part = text[-size:]
+        first = next((i for i, c in enumerate(part) if c.isspace()), None)
+        if first is not None:
+            part = part[first:]
+            if sum(known.kinds[known[t]] >= PLAIN for t in part.split()) > max(ORDERS) + 3:
+                return part
+        size *= 2
+    return text
+
+
 def context_keys(s: dict[str, np.ndarray], at: np.ndarray, order: int, salt: str | None = None) -> np.ndarray:
     """One key for the ``order`` words up to each position; places before the sentence count as its start."""
     key = np.full(len(at), SALTS[salt or order], np.uint64)
@@ -206,7 +221,7 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             if len(known) > MOST_REMEMBERED:
                 known = _Words()
             texts = b.column(0).to_pylist()
-            s = scan(texts, known)
+            s = scan([ending(t, known) for t in texts], known)
             words = np.flatnonzero(s["kind"] >= PLAIN)
             of = s["text"][words]
             ends = np.ones(len(words), bool)

@@ -155,3 +155,25 @@ def test_one_text_is_a_third_of_all(spark, corpus):
     got = {r.doc_id: r.truncated for r in X.judged(frame(spark, rows + cut + hot)).collect()}
     assert all(got[20_000 + k] == once[cut[0][0]] for k in range(480))
     assert sum(got[i] != once[i] for i in once) <= 2
+
+
+def test_the_ending_decides_like_the_whole_text(spark, corpus, monkeypatch):
+    rows, cut = corpus
+    rng = random.Random(11)
+    odd = [(2000 + i, "x", "".join(rng.choices(["word ", "a. ", "b\n", ", ", "… ", "/ ", "✅ ", "12,5 ", "؟ ", "x" * 50 + " "], k=rng.randint(1, 200)))) for i in range(300)]
+    odd += [(3000, "x", "y" * 5000), (3001, "x", "y " + "z" * 5000), (3002, "x", "- " * 3000 + "end")]
+    df = frame(spark, rows + cut + odd).coalesce(1)
+
+    def keys(least):
+        known, out = X._Words(), []
+        texts = [t for *_, t in rows + cut + odd]
+        s = X.scan([X.ending(t, known, least) for t in texts], known)
+        words = np.flatnonzero(s["kind"] >= X.PLAIN)
+        at = words[np.append(s["text"][words][1:] != s["text"][words][:-1], True)]
+        for k in X.ORDERS:
+            out.append(X.context_keys(s, at, k))
+            out.append(np.where(at > s["start"][at], X.context_keys(s, np.maximum(at - 1, 0), k), 0))
+        return np.stack([*out, s["text"][at].astype(np.uint64)])
+
+    assert (keys(5) == keys(10**9)).all() and (keys(400) == keys(10**9)).all()
+    assert X.tails(df, ["doc_id"]).count() == keys(10**9).shape[1]
