@@ -39,17 +39,20 @@ def _flagged(*columns: Column) -> list[Column]:
     return [x for c in columns for x in (c.isNull(), c)]
 
 
-def compact(df: DataFrame) -> DataFrame:
-    """snapshot_date, the key's two hashes, the hash of the compared values, and the load time in microseconds."""
-    amount = F.round(F.col("annual_amount"), 2) + F.lit(0.0)
-    key = _flagged(line_id(), F.col("line_number"))
-    return df.filter(F.col("snapshot_date").isNotNull()).select(
-        "snapshot_date",
-        F.xxhash64(*key).alias("k1"),
-        F.xxhash64(F.lit(17), *key).alias("k2"),
-        F.xxhash64(*_flagged(amount, F.col("contract_end_date"))).alias("v"),
+def keyed(df: DataFrame) -> DataFrame:
+    """The rows of a snapshot with ``snap`` (its day as a number), the normal key, the compared values, the key's two
+    hashes, the hash of the values, and the load time in microseconds."""
+    key = _flagged(F.col("contract_id"), F.col("line_number"))
+    values = _flagged(F.round(F.col("annual_amount"), 2) + F.lit(0.0), F.col("contract_end_date"))
+    rows = df.filter(F.col("snapshot_date").isNotNull()).select(
+        F.unix_date(F.col("snapshot_date").cast("date")).cast("bigint").alias("snap"),
+        line_id().alias("contract_id"),
+        "line_number",
+        "annual_amount",
+        "contract_end_date",
         F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62))).alias("t"),
     )
+    return rows.withColumns({"k1": F.xxhash64(*key), "k2": F.xxhash64(F.lit(17), *key), "v": F.xxhash64(*values)})
 
 
 def _holders(snap, k1, k2, t, v) -> tuple[np.ndarray, np.ndarray]:
@@ -84,13 +87,13 @@ def _thin(batches):
         yield from thinned()
 
 
-def _difference(table: pa.Table) -> pa.Table:
-    """One bucket: the differing keys of snapshots that follow each other, with the hash and time of their rows."""
+def _difference(table: pa.Table, days: np.ndarray) -> pa.Table:
+    """One bucket: the differing keys of snapshots that follow each other in ``days``, with the hash and time of their rows."""
     snap, k1, k2, v, t = (table.column(c).to_numpy() for c in ("snap", "k1", "k2", "v", "t"))
     rows, key = _holders(snap, k1, k2, t, v)
     order = np.argsort(snap[rows], kind="stable")
     rows, key = rows[order], key[order]
-    at = snap[rows]
+    bounds = np.append(np.searchsorted(snap[rows], days), len(rows))
     parts = []
 
     def lookup(sorted_keys, wanted):
@@ -99,9 +102,8 @@ def _difference(table: pa.Table) -> pa.Table:
         found = np.zeros(len(wanted), bool) if not len(sorted_keys) else sorted_keys[pos] == wanted
         return found, pos
 
-    for later in range(1, int(table.column("n_snaps")[0].as_py()) if table.num_rows else 0):
-        lo, mid, hi = np.searchsorted(at, [later - 1, later, later + 1])
-        old, new = slice(lo, mid), slice(mid, hi)
+    for later in range(1, len(days)):
+        old, new = slice(bounds[later - 1], bounds[later]), slice(bounds[later], bounds[later + 1])
         known, pos = lookup(key[old], key[new])
         still, _ = lookup(key[new], key[old])
         added, gone = rows[new][~known], rows[old][~still]
@@ -115,7 +117,8 @@ def _difference(table: pa.Table) -> pa.Table:
                 parts.append(
                     pa.table(
                         {
-                            "later": pa.array(np.full(n, later, np.int32)),
+                            "later": pa.array(np.full(n, days[later])),
+                            "earlier": pa.array(np.full(n, days[later - 1])),
                             "kind": pa.array(np.full(n, kind, np.int32)),
                             "k1": pa.array(k1[own]),
                             "k2": pa.array(k2[own]),
@@ -129,71 +132,47 @@ def _difference(table: pa.Table) -> pa.Table:
     return pa.concat_tables(parts) if parts else _EMPTY
 
 
-_EMPTY = pa.table({c: pa.array([], pa.int32() if c in ("later", "kind") else pa.int64()) for c in ("later", "kind", "k1", "k2", "v_new", "t_new", "v_old", "t_old")})
-_DIFF_SCHEMA = "later int, kind int, k1 bigint, k2 bigint, v_new bigint, t_new bigint, v_old bigint, t_old bigint"
+_DIFF = ["later", "earlier", "kind", "k1", "k2", "v_new", "t_new", "v_old", "t_old"]
+_EMPTY = pa.table({c: pa.array([], pa.int32() if c == "kind" else pa.int64()) for c in _DIFF})
+_DIFF_SCHEMA = ", ".join(f"{c} {'int' if c == 'kind' else 'bigint'}" for c in _DIFF)
 
 
-def snapshot_dates(df: DataFrame) -> list:
-    """The deliveries in their order; one value for each delivery comes to the driver."""
-    rows = df.select("snapshot_date").filter(F.col("snapshot_date").isNotNull()).distinct().collect()
-    return sorted(r[0] for r in rows)
+def snapshot_days(df: DataFrame) -> list[int]:
+    """The days of the snapshots as numbers, in order; one for each delivery comes to the driver."""
+    return sorted(r[0] for r in keyed(df).select("snap").distinct().collect())
 
 
-def differing_keys(df: DataFrame, dates: list, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Differing keys by hash: later (position of the later snapshot), kind, k1, k2 and the hash and time of their rows."""
+def differing_keys(df: DataFrame, days: list[int], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Differing keys by hash: the two days, kind, k1, k2 and the hash and time of the rows that hold."""
     spark = df.sparkSession
     ship_package(spark)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + df.count() // rows_per_bucket)  # a count of Parquet reads footers only
-    number = F.element_at(F.create_map(*[x for i, d in enumerate(dates) for x in (F.lit(d), F.lit(i))]), F.col("snapshot_date"))
-    rows = compact(df).select(F.pmod(F.col("k1"), F.lit(buckets)).cast("int").alias("bucket"), number.cast("bigint").alias("snap"), "k1", "k2", "v", "t")
-    thin = rows.mapInArrow(_thin, rows.schema).withColumn("n_snaps", F.lit(len(dates)))
-    return thin.groupBy("bucket").applyInArrow(_difference, _DIFF_SCHEMA)
+    rows = keyed(df).select(F.pmod(F.col("k1"), F.lit(buckets)).cast("int").alias("bucket"), "snap", "k1", "k2", "v", "t")
+    known = np.array(days, np.int64)
+    return rows.mapInArrow(_thin, rows.schema).groupBy("bucket").applyInArrow(lambda table: _difference(table, known), _DIFF_SCHEMA)
 
 
 def changes(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """snapshot_date (of the later one), contract_id, line_number, change_kind, and annual_amount and contract_end_date
     before and after. One row for each differing line and pair of snapshots that follow each other."""
-    dates = snapshot_dates(df)
-    if len(dates) < 2:
-        dates_known = df.filter(F.lit(False))
-        c = F.col
-        return dates_known.select("snapshot_date", line_id().alias("contract_id"), "line_number", F.lit("").alias("change_kind"), *[c(x).alias(f"{side}_{x}") for side in ("old", "new") for x in ("annual_amount", "contract_end_date")])
-    diff = persist_table(differing_keys(df, dates, rows_per_bucket), "differing")
-    days = F.array(*[F.lit(d) for d in dates])
-    day = F.element_at(days, F.col("later") + 1)
-    previous = F.element_at(days, F.col("later"))
+    diff = persist_table(differing_keys(df, snapshot_days(df), rows_per_bucket), "differing")
     # A differing key asks for the row that held in each snapshot: one request for an added or removed line, two for a changed one.
-    ask_new = F.struct(F.lit("new").alias("side"), day.alias("snapshot_date"), F.col("v_new").alias("v"), F.col("t_new").alias("t"))
-    ask_old = F.struct(F.lit("old").alias("side"), previous.alias("snapshot_date"), F.col("v_old").alias("v"), F.col("t_old").alias("t"))
-    wanted = diff.select("later", "kind", "k1", "k2", F.explode(F.array(ask_new, ask_old)).alias("x")).filter(F.col("x.v").isNotNull()).select("later", "kind", "k1", "k2", "x.*")
-    full = df.select(
-        *["annual_amount", "contract_end_date", "line_number"],
-        line_id().alias("contract_id"),
-        *[c for c in ("snapshot_date", "loaded_at")],
-    )
-    key = _flagged(F.col("contract_id"), F.col("line_number"))
-    full = full.select(
-        "snapshot_date",
-        "contract_id",
-        "line_number",
-        "annual_amount",
-        "contract_end_date",
-        F.xxhash64(*key).alias("k1"),
-        F.xxhash64(F.lit(17), *key).alias("k2"),
-        F.xxhash64(*_flagged(F.round(F.col("annual_amount"), 2) + F.lit(0.0), F.col("contract_end_date"))).alias("v"),
-        F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62))).alias("t"),
-    )
+    ask = [F.struct(F.lit(side).alias("side"), F.col(day).alias("snap"), F.col(f"v_{side}").alias("v"), F.col(f"t_{side}").alias("t")) for side, day in (("new", "later"), ("old", "earlier"))]
+    wanted = diff.select("later", "kind", "k1", "k2", F.explode(F.array(*ask)).alias("x")).filter(F.col("x.v").isNotNull()).select("later", "kind", "k1", "k2", "x.*")
     # Rows of lines that did not differ are dropped before the shuffle, as far as a bit array of fixed size can tell.
-    full = might_hold(full, bit_words(wanted, "k1"), "k1")
-    found = full.join(wanted, ["k1", "k2", "snapshot_date", "v", "t"])
+    full = might_hold(keyed(df), bit_words(wanted, "k1"), "k1")
+    found = full.join(wanted, ["k1", "k2", "snap", "v", "t"])
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
+    sides = [(s, c) for s in ("old", "new") for c in ("annual_amount", "contract_end_date")]
     kinds = F.array(*[F.lit(str(k)) for k in KINDS])
     return (
         found.groupBy("k1", "k2", "later", "kind")
-        .agg(
-            F.max("contract_id").alias("contract_id"),
-            F.max("line_number").alias("line_number"),
-            *[pick(s, c) for s in ("old", "new") for c in ("annual_amount", "contract_end_date")],
+        .agg(F.max("contract_id").alias("contract_id"), F.max("line_number").alias("line_number"), *[pick(s, c) for s, c in sides])
+        .select(
+            F.date_from_unix_date(F.col("later").cast("int")).alias("snapshot_date"),
+            "contract_id",
+            "line_number",
+            F.element_at(kinds, F.col("kind") + 1).alias("change_kind"),
+            *[f"{s}_{c}" for s, c in sides],
         )
-        .select(day.alias("snapshot_date"), "contract_id", "line_number", F.element_at(kinds, F.col("kind") + 1).alias("change_kind"), *[f"{s}_{c}" for s in ("old", "new") for c in ("annual_amount", "contract_end_date")])
     )

@@ -75,8 +75,8 @@ def test_hot_line(spark):
 def test_thinning(spark, monkeypatch):
     import pyarrow as pa
 
-    c = S.compact(frame(spark, [(D(2025, 1, 1), f"L{i % 3}", 1, float(i), None, datetime(2025, 1, 1) + timedelta(seconds=i)) for i in range(90)]))
-    table = c.selectExpr("0 AS bucket", "0L AS snap", "k1", "k2", "v", "t").coalesce(1).toArrow()
+    c = S.keyed(frame(spark, [(D(2025, 1, 1), f"L{i % 3}", 1, float(i), None, datetime(2025, 1, 1) + timedelta(seconds=i)) for i in range(90)]))
+    table = c.selectExpr("0 AS bucket", "snap", "k1", "k2", "v", "t").coalesce(1).toArrow()
     monkeypatch.setattr(S, "ROWS_THINNED", 50)
     out = pa.Table.from_batches(list(S._thin(table.to_batches(max_chunksize=10))))
     assert out.num_rows == 6 and max(out.column("t").to_pylist()) == max(table.column("t").to_pylist())
