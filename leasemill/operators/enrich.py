@@ -41,9 +41,8 @@ def enrich(df: DataFrame) -> DataFrame:
     out = df.withColumns(new)
     if has_psf:
         rows = df.withColumn("psf", X.psf()).filter(F.col("psf").isNotNull())
-        psf_p, rent_p = luxury_thresholds(rows)
-        lux = (F.col("price_per_sqft") >= psf_p) | (F.col("annual_amount") >= rent_p)
-        out = out.withColumn("is_luxury", F.when(lux, True).otherwise(False))
+        lux = (F.col("price_per_sqft") >= F.col("_limits.psf_p")) | (F.col("annual_amount") >= F.col("_limits.rent_p"))
+        out = out.withColumn("_limits", luxury_thresholds(rows)).withColumn("is_luxury", F.when(lux, True).otherwise(False)).drop("_limits")
     if "property_usage_en" in have:
         out = out.withColumn("usage_category", X.usage_category(F.col("property_usage_en")))
     return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.functions.exprs import psf, psf_in_band, valid_area, valid_rent
-from leasemill.operators.ranks import median, nearest_rank, with_medians
+from leasemill.operators.ranks import medians, nearest_ranks, with_medians
 from leasemill.settings import LIMITS
 
 
@@ -33,12 +33,12 @@ def nothing(df: DataFrame) -> DataFrame:
 RENT_STATS = ["contract_count", "avg_rent", "median_rent", "min_rent", "max_rent"]
 
 
-def stats_by(rows: DataFrame, key: str, extra: dict[str, Column] | None = None, medians: dict[str, Column] | None = None) -> DataFrame:
+def stats_by(rows: DataFrame, key: str, extra: dict[str, Column] | None = None, middles: dict[str, Column] | None = None) -> DataFrame:
     """Rent figures (and further ones) of each group. Medians are selected, not buffered: see ``ranks``."""
     rent = F.col("annual_amount")
     simple = {"contract_count": F.count("*"), "avg_rent": F.avg(rent), "min_rent": F.min(rent), "max_rent": F.max(rent)} | (extra or {})
     stats = rows.groupBy(key).agg(*[c.alias(n) for n, c in simple.items()])
-    return with_medians(stats, rows, [key], {"median_rent": rent} | (medians or {}))
+    return with_medians(stats, rows, [key], {"median_rent": rent} | (middles or {}))
 
 
 def share_of(count: str) -> Column:
@@ -107,11 +107,9 @@ def usage_segments(df: DataFrame) -> DataFrame:
     )
 
 
-def luxury_thresholds(df: DataFrame, psf_col: str = "psf") -> tuple[Column, Column]:
-    """Nearest-rank percentiles of psf and rent over the given rows, as scalar subqueries; null where there are no rows."""
-    limits = ((psf_col, LIMITS.luxury_psf_percentile), ("annual_amount", LIMITS.luxury_rent_percentile))
-    psf_p, rent_p = (nearest_rank(df, F.col(c), {c: q}).agg(F.max("v")).scalar() for c, q in limits)
-    return psf_p, rent_p
+def luxury_thresholds(df: DataFrame, psf_col: str = "psf") -> Column:
+    """``psf_p`` and ``rent_p``: nearest-rank percentiles over the given rows, as one scalar subquery; null without rows."""
+    return nearest_ranks(df, {"psf_p": (F.col(psf_col), LIMITS.luxury_psf_percentile), "rent_p": (F.col("annual_amount"), LIMITS.luxury_rent_percentile)})
 
 
 def luxury_properties(df: DataFrame) -> DataFrame:
@@ -119,8 +117,8 @@ def luxury_properties(df: DataFrame) -> DataFrame:
     rows = psf_metrics(df)
     if not rows.columns:
         return rows
-    psf_p, rent_p = luxury_thresholds(rows)
-    return rows.withColumn("is_luxury", (F.col("psf") >= psf_p) | (F.col("annual_amount") >= rent_p))
+    flag = (F.col("psf") >= F.col("_limits.psf_p")) | (F.col("annual_amount") >= F.col("_limits.rent_p"))
+    return rows.withColumn("_limits", luxury_thresholds(rows)).withColumn("is_luxury", flag).drop("_limits")
 
 
 def rental_trends(df: DataFrame, date_column: str = "contract_start_date", period: str = "monthly") -> DataFrame:
@@ -151,13 +149,13 @@ def market_summary(df: DataFrame) -> DataFrame:
         "max_rent": F.max(F.when(ok, rent)),
     }
     shown = ["total_contracts", "avg_rent", "median_rent", "min_rent", "max_rent"]
-    scalars = {"median_rent": median(filter_valid_rent(df), rent)}
+    middles = {"median_rent": F.when(ok, rent)}
     if "actual_area" in df.columns:
         banded = F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())
         figures["avg_psf"] = F.avg(banded)
-        scalars["median_psf"] = median(psf_metrics(df), F.col("psf"))
+        middles["median_psf"] = banded
         shown += ["avg_psf", "median_psf"]
-    overall = df.agg(*[c.alias(n) for n, c in figures.items()]).withColumns(scalars).select(*shown)
+    overall = df.agg(*[c.alias(n) for n, c in figures.items()]).withColumn("_m", medians(df, middles)).select("*", "_m.*").select(*shown)
     fields = ["contract_count", "property_usage_en", "avg_rent", "median_rent", "min_rent", "max_rent", "market_share_pct"]
     breakdown = usage_segments(df).agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("usage_breakdown"))
     return overall.withColumn("usage_breakdown", breakdown.scalar())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.functions.exprs import duration_days, valid_rent
-from leasemill.operators.ranks import median, nearest_rank
+from leasemill.operators.ranks import medians, nearest_ranks
 from leasemill.settings import DATE_FIELDS, LIMITS, NUMERIC_FIELDS, REQUIRED_FIELDS
 
 
@@ -104,10 +104,9 @@ def profile(df: DataFrame) -> DataFrame:
 def outliers(df: DataFrame) -> DataFrame:
     """One row (n, n_outliers) over rows with a valid rent: outside q1 - k*iqr .. q3 + k*iqr by nearest-rank quartiles."""
     rows = df.filter(valid_rent())
-    quartiles = nearest_rank(rows, F.col("annual_amount"), {"q1": 0.25, "q3": 0.75}).agg(
-        F.struct(F.max(F.when(F.col("tag") == "q1", F.col("v"))).alias("q1"), F.max(F.when(F.col("tag") == "q3", F.col("v"))).alias("q3")).alias("q")
-    )
-    marked = rows.select(F.col("annual_amount").alias("v")).withColumn("q", quartiles.scalar())
+    rent = F.col("annual_amount")
+    quartiles = nearest_ranks(rows, {"q1": (rent, 0.25), "q3": (rent, 0.75)})
+    marked = rows.select(F.col("annual_amount").alias("v")).withColumn("q", quartiles)
     reach = LIMITS.outlier_iqr_multiplier * (F.col("q.q3") - F.col("q.q1"))
     out = (F.col("v") < F.col("q.q1") - reach) | (F.col("v") > F.col("q.q3") + reach)
     return marked.agg(F.count("*").alias("n"), F.count_if(out).alias("n_outliers"))
@@ -203,7 +202,7 @@ def load_stats(df: DataFrame, top: int = 5) -> DataFrame:
         F.min(rent).alias("min_rent"),
         F.max(rent).alias("max_rent"),
         F.avg(rent).alias("avg_rent"),
-    ).withColumn("median_rent", median(df, rent))
+    ).withColumn("median_rent", medians(df, {"m": rent})["m"])
     if "property_usage_en" not in df.columns:
         return stats
     best = top_usages(df, top).agg(F.sort_array(F.collect_list(F.struct("n", "property_usage_en")), asc=False).alias("x"))

@@ -77,37 +77,53 @@ def exact_medians(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 def grouped_medians(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
     """keys, and a column with the exact median of each of ``values`` for each group that has any of them."""
-    cells = [F.struct(F.lit(name).alias("_tag"), v.cast("double").alias("v")) for name, v in values.items()]
-    rows = df.select(*keys, F.inline(F.array(*cells)), F.lit(1).cast("bigint").alias("n"))
-    picked = select_ranks(rows, [*keys, "_tag"], _middle())
-    medians = [F.avg(F.when(F.col("_tag") == name, F.col("v"))).alias(name) for name in values]
-    return picked.groupBy(*keys).agg(*medians)
+    picked = select_ranks(_tagged(df, values, *keys), [*keys, "_tag"], _middle())
+    return picked.groupBy(*keys).agg(*[F.avg(F.when(F.col("_tag") == name, F.col("v"))).alias(name) for name in values])
 
 
 def with_medians(stats: DataFrame, df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
     """``stats``, one row for each group, with the medians of its groups; null groups find theirs."""
-    medians = grouped_medians(df, keys, values).withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    found = grouped_medians(df, keys, values).withColumnsRenamed({k: f"_m_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
-    return stats.join(medians, same, "left").drop(*[f"_m_{k}" for k in keys])
+    return stats.join(found, same, "left").drop(*[f"_m_{k}" for k in keys])
+
+
+def _tagged(df: DataFrame, values: dict[str, Column], *keys: str) -> DataFrame:
+    """One row for each value: the keys, _tag, v, n."""
+    cells = [F.struct(F.lit(name).alias("_tag"), v.cast("double").alias("v")) for name, v in values.items()]
+    return df.select(*keys, F.inline(F.array(*cells)), F.lit(1).cast("bigint").alias("n"))
+
 
+def _overall(df: DataFrame, values: dict[str, Column], ranks: Column) -> DataFrame:
+    """_tag, rank_tag, v over the whole table, for all values at once and in one plan: the located buckets come as a scalar
+    subquery, one row by nature."""
+    marked = _bucketed(_tagged(df, values).filter(is_finite(F.col("v"))))
+    places = _located(marked, ["_tag"], ranks).agg(F.collect_list(F.struct("_tag", "_s", "_b", "below", "rank_tag", "rank")).alias("p")).scalar()
+    match = lambda p: (p["_tag"] == F.col("_tag")) & (p["_s"] == F.col("_s")) & (p["_b"] == F.col("_b"))
+    here = marked.withColumn("_p", places).filter(F.exists("_p", match))
+    found = here.withColumn("_q", F.explode("_p")).filter(match(F.col("_q")))
+    return _within(found.select("_tag", "v", "n", "_q.below", "_q.rank_tag", "_q.rank"), ["_tag"])
 
-def _overall(df: DataFrame, value: Column, ranks: Column) -> DataFrame:
-    """rank_tag, v over the whole table, in one plan: the located buckets come as a scalar subquery, one row by nature."""
-    marked = _bucketed(df.select(value.cast("double").alias("v"), F.lit(1).cast("bigint").alias("n")).filter(is_finite(F.col("v"))))
-    places = _located(marked, [], ranks).agg(F.collect_list(F.struct("_s", "_b", "below", "rank_tag", "rank")).alias("p")).scalar()
-    here = marked.withColumn("_p", places).filter(F.exists("_p", lambda p: (p["_s"] == F.col("_s")) & (p["_b"] == F.col("_b"))))
-    found = here.withColumn("_q", F.explode("_p")).filter((F.col("_q._s") == F.col("_s")) & (F.col("_q._b") == F.col("_b")))
-    return _within(found.select("v", "n", "_q.below", "_q.rank_tag", "_q.rank"), [])
+
+def _nearest(quantiles: dict[str, float]) -> Column:
+    n = F.col("total") - 1
+    return F.array(*[F.struct(F.lit(t).alias("tag"), F.floor(n * F.lit(float(q)) + F.lit(0.5)).alias("rank")) for t, q in quantiles.items()])
 
 
 def nearest_rank(df: DataFrame, value: Column, quantiles: dict[str, float]) -> DataFrame:
     """tag, v: nearest-rank quantiles over the whole table, the element at 0-based index round(q * (n - 1)), halves away
     from zero. No values, no rows."""
-    n = F.col("total") - 1
-    ranks = F.array(*[F.struct(F.lit(t).alias("tag"), F.floor(n * F.lit(float(q)) + F.lit(0.5)).alias("rank")) for t, q in quantiles.items()])
-    return _overall(df, value, ranks).withColumnRenamed("rank_tag", "tag")
+    return _overall(df, {"": value}, _nearest(quantiles)).select(F.col("rank_tag").alias("tag"), "v")
+
+
+def nearest_ranks(df: DataFrame, asked: dict[str, tuple[Column, float]]) -> Column:
+    """A nearest-rank quantile of each of several values, as the fields of one scalar subquery; null without values."""
+    found = _overall(df, {name: v for name, (v, _) in asked.items()}, _nearest({name: q for name, (_, q) in asked.items()}))
+    own = found.filter(F.col("_tag") == F.col("rank_tag"))
+    return own.agg(F.struct(*[F.max(F.when(F.col("_tag") == name, F.col("v"))).alias(name) for name in asked])).scalar()
 
 
-def median(df: DataFrame, value: Column) -> Column:
-    """The exact median over the whole table as a scalar subquery, null where there is no value."""
-    return _overall(df, value, _middle()).agg(F.avg("v")).scalar()
+def medians(df: DataFrame, values: dict[str, Column]) -> Column:
+    """The exact medians of several values over the whole table, as the fields of one scalar subquery; null without values."""
+    found = _overall(df, values, _middle())
+    return found.agg(F.struct(*[F.avg(F.when(F.col("_tag") == name, F.col("v"))).alias(name) for name in values])).scalar()

@@ -76,8 +76,9 @@ def test_ranks_are_exact(spark, values):
         assert (g in med) == bool(x)
         if x:
             assert med[g] == pytest.approx((np.median(x), -np.median(x)))
-    overall = spark.range(1).withColumn("m", ranks.median(df, df.x)).first().m
-    assert overall == (pytest.approx(np.median(every)) if every else None)
+    overall = spark.range(1).withColumn("m", ranks.medians(df, {"a": df.x, "b": -df.x})).withColumn("q", ranks.nearest_ranks(df, {"lo": (df.x, 0.0), "hi": (df.x, 1.0)})).first()
+    assert (overall.m.a, overall.m.b) == (pytest.approx((np.median(every), -np.median(every))) if every else (None, None))
+    assert (overall.q.lo, overall.q.hi) == ((every[0], every[-1]) if every else (None, None))
 
 
 def test_medians_with_null_key_hot_value_and_odd_numbers(spark):
