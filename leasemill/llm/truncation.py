@@ -351,13 +351,17 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     bits = spark.sparkContext.broadcast(wanted_bits(unclosed))
     counts = corpus_counts(columns, bits)
     # Other texts with the same unclosed end are evidence of an end. They count as often as they occur, as all of the corpus
-    # does, but for the copies of the text in question.
-    finals = unclosed.select(F.explode(F.array(*[f"c{k}" for k in ORDERS], "before5")).alias("key")).groupBy("key").agg(F.count("*").alias("finals"))
+    # does, but for the copies of the text in question. c5 and before5 are keys of one kind, yet counted apart: a text that
+    # goes on by one more word is no evidence that the words before it are an end.
+    places = unclosed.select(F.posexplode(F.array(*[f"c{k}" for k in ORDERS], "before5")).alias("place", "key"))
+    at_end = F.col("place") < len(ORDERS)
+    finals = places.groupBy("key").agg(F.count_if(at_end).alias("at_end"), F.count_if(~at_end).alias("before_end"))
     copies = unclosed.groupBy("text_hash").agg(F.count("*").alias("copies"))
     shapes = unclosed.select(*KEYS).distinct()
     shapes = shapes.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))]))
     asks = shapes.select("shape", F.posexplode(F.array(*KEYS)).alias("slot", "key")).filter(F.col("key").isNotNull())
     told = asks.join(counts, "key", "left").join(finals, "key", "left")
+    told = told.withColumn("finals", F.when(F.col("slot") < len(ORDERS), F.col("at_end")).otherwise(F.col("before_end")))
     zero = lambda c: F.coalesce(F.max(F.when(F.col("slot") == i, F.col(c))), F.lit(0))
     aggs = []
     for i, k in enumerate(KEYS):

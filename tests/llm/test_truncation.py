@@ -84,6 +84,17 @@ def test_edge_cases(spark, corpus):
     assert not any(r.truncated for r in X.judged(frame(spark, [(1, "a", "only"), (2, "a", "two words")])).collect())
 
 
+def test_a_text_that_goes_on_is_no_evidence_of_an_end(spark, corpus):
+    rows, _ = corpus
+    body = "The tenant shall pay the annual rent."
+    ends = ["Total due AED 4{}00", "Sincerely yours from the Marina Office {}"]
+    whole = [(5000 + 100 * j + i, "ab"[i % 2], f"{body}\n{end.format(i % 10)}") for j, end in enumerate(ends) for i in range(60)]
+    cut = [(6000 + j, "a", f"{body}\n{end.rsplit(' ', 1)[0]}") for j, end in enumerate(ends)]
+    found = {r.doc_id: r.evidence for r in X.judged(frame(spark, rows + whole + cut)).collect()}
+    assert [found[i] for i, *_ in cut] == ["sentence", "sentence"]
+    assert not any(found[i] for i, *_ in rows + whole)
+
+
 def brute_counts(texts, order):
     """(ended, went on) of every context of ``order`` words, from the tokens one by one."""
     out = Counter(), Counter()
