@@ -61,6 +61,19 @@ def report_comparison(spark: SparkSession, current: str, previous: str, target:
         return False
 
 
+def publish_artifacts(publisher: Publisher | None, tag: str, files: list[str]) -> bool:
+    """Publish what exists; False if it failed or left out a file."""
+    try:
+        made = publish_existing(publisher, tag, files)
+        missing = getattr(publisher, "missing", []) if made is not None else []
+        if missing:
+            log.error("%s lacks %s", tag, missing)
+        return not missing
+    except Exception:
+        log.exception("publication of %s failed", tag)
+        return False
+
+
 def run(spark: SparkSession, page_url: str | None, root: str, day: date, publisher: Publisher | None = None) -> bool:
     """The whole pipeline. Without a URL nothing is done; a step that fails ends the run."""
     if not page_url:
@@ -72,5 +85,4 @@ def run(spark: SparkSession, page_url: str | None, root: str, day: date, publish
         return False
     if not report_usage(spark, paths.parquet, paths.report, day):
         return False
-    publish_existing(publisher, f"release-{day.isoformat()}", [paths.parquet, paths.report])
-    return True
+    return publish_artifacts(publisher, f"release-{day.isoformat()}", [paths.parquet, paths.report])

@@ -21,6 +21,26 @@ class Publisher(Protocol):
     def publish(self, tag: str, files: Iterable[str]) -> str: ...
 
 
+def pieces(files: Iterable[str]) -> list[tuple[str, Path]]:
+    """Name and file of all that is to be uploaded. A folder, as Spark writes tables, stands for every file of data in it, its
+    path joined by ``-`` to one name; marks and checksums (names that begin with ``_`` or ``.``) are no data. A folder
+    without data and names that clash raise OSError, before anything is sent."""
+    out = []
+    for f in map(Path, files):
+        if not f.is_dir():
+            out.append((f.name, f))
+            continue
+        inside = [(p.relative_to(f), p) for p in sorted(f.rglob("*")) if p.is_file()]
+        data = [("-".join((f.name, *rel.parts)), p) for rel, p in inside if not any(part[0] in "_." for part in rel.parts)]
+        if not data:
+            raise OSError(f"{f} holds no data")
+        out += data
+    names = [name for name, _ in out]
+    if len(set(names)) < len(names):
+        raise OSError(f"names clash: {sorted({n for n in names if names.count(n) > 1})}")
+    return out
+
+
 class FolderPublisher:
     """Copies artifacts to <root>/<tag>."""
 
@@ -55,11 +75,13 @@ def send(method: str, url: str, headers: dict, body: bytes | None) -> tuple[int,
 
 
 class ReleasePublisher:
-    """Releases of a code host: create by tag, then upload assets. A failed upload is logged and the rest goes on."""
+    """Releases of a code host: create by tag, then upload assets. A failed upload is logged and the rest goes on; ``missing``
+    has the names that the last upload did not bring. Such a release stays, and counts as existing, until it is deleted."""
 
     def __init__(self, api: str, uploads: str, repository: str, token: str, http: Send = send):
         self.api, self.uploads, self.repository, self.http = api.rstrip("/"), uploads.rstrip("/"), repository, http
         self.headers = {"Authorization": f"Bearer {token}", "Accept": "application/json"}
+        self.missing: list[str] = []
 
     def exists(self, tag: str) -> bool | None:
         status, _ = self.http("GET", f"{self.api}/repos/{self.repository}/releases/tags/{tag}", self.headers, None)
@@ -73,27 +95,29 @@ class ReleasePublisher:
         return json.loads(data)["id"]
 
     def upload(self, release: int, files: Iterable[str]) -> list[str]:
-        done = []
-        for f in files:
-            name = Path(f).name
+        done, self.missing = [], []
+        for name, file in pieces(files):
             url = f"{self.uploads}/repos/{self.repository}/releases/{release}/assets?name={urllib.parse.quote(name)}"
             try:
-                status, _ = self.http("POST", url, self.headers | {"Content-Type": "application/octet-stream"}, Path(f).read_bytes())
+                status, _ = self.http("POST", url, self.headers | {"Content-Type": "application/octet-stream"}, file.read_bytes())
                 if status != 201:
                     raise OSError(status)
                 done.append(name)
             except OSError as e:
                 log.error("upload of %s failed: %s", name, e)
+                self.missing.append(name)
         return done
 
     def publish(self, tag: str, files: Iterable[str]) -> str:
+        files = list(files)
+        pieces(files)
         release = self.create(tag)
         self.upload(release, files)
         return str(release)
 
 
 class DepositPublisher:
-    """Depositions of a data archive: list, create, upload, publish, delete."""
+    """Depositions of a data archive: list, create, upload, publish, delete. If an upload fails, the draft is deleted."""
 
     def __init__(self, api: str, token: str, http: Send = send):
         self.api, self.http = api.rstrip("/"), http
@@ -113,7 +137,8 @@ class DepositPublisher:
         return self._call("POST", "deposit/depositions", json.dumps({"metadata": metadata}).encode())
 
     def upload(self, bucket: str, file: str) -> None:
-        self._call("PUT", f"{bucket}/{urllib.parse.quote(Path(file).name)}", Path(file).read_bytes(), headers=self.headers | {"Content-Type": "application/octet-stream"})
+        for name, piece in pieces([file]):
+            self._call("PUT", f"{bucket}/{urllib.parse.quote(name)}", piece.read_bytes(), headers=self.headers | {"Content-Type": "application/octet-stream"})
 
     def release(self, deposition: int) -> dict:
         return self._call("POST", f"deposit/depositions/{deposition}/actions/publish")
@@ -125,9 +150,15 @@ class DepositPublisher:
         return any(d.get("title") == tag for d in self.list())
 
     def publish(self, tag: str, files: Iterable[str]) -> str:
+        files = list(files)
+        pieces(files)
         made = self.create({"title": tag, "upload_type": "dataset", "description": tag})
-        for f in files:
-            self.upload(made["links"]["bucket"], f)
+        try:
+            for f in files:
+                self.upload(made["links"]["bucket"], f)
+        except OSError:
+            self.delete(made["id"])
+            raise
         self.release(made["id"])
         return str(made["id"])
 

@@ -152,6 +152,46 @@ def test_pipeline(spark, tmp_path, monkeypatch):
     assert not pipeline.report_comparison(spark, "none", "none", str(tmp_path / "r"), date(2025, 1, 1))
 
 
+@pytest.mark.parametrize("kind", ["release", "deposit"])
+@pytest.mark.parametrize("fails", [False, True])
+def test_pipeline_publishes_folders(spark, tmp_path, monkeypatch, kind, fails):
+    sent, calls = {}, []
+
+    def http(method, url, headers, body):
+        calls.append((method, url))
+        if method == "GET":
+            return (404, b"") if kind == "release" else (200, b"[]")
+        if headers.get("Content-Type") == "application/octet-stream":
+            if fails and "property_usage" in url:
+                return 500, b""
+            sent[url.rsplit("=" if kind == "release" else "/", 1)[1]] = body
+        return 201, json.dumps({"id": 7, "links": {"bucket": "http://b"}}).encode()
+
+    def download(url, target):
+        open(target, "w").write(CSV)
+        return True
+
+    monkeypatch.setattr(pipeline, "download_contracts", download)
+    p = publish.ReleasePublisher("http://api", "http://up", "o/r", "t", http) if kind == "release" else publish.DepositPublisher("http://api", "t", http)
+    assert pipeline.run(spark, "http://x", str(tmp_path), date(2025, 1, 2), p) is not fails
+    folders = ["rent_contracts_2025-01-02.parquet"] + ["property_usage_2025-01-02"] * (not fails)
+    assert sent == {f"{f}-{x.name}": x.read_bytes() for f in folders for x in (tmp_path / f).glob("part-*")} and len(sent) >= len(folders)
+    if kind == "deposit":
+        assert (("DELETE", "http://api/deposit/depositions/7") in calls) is fails
+        assert (("POST", "http://api/deposit/depositions/7/actions/publish") in calls) is not fails
+
+
+def test_folders_are_sent_whole_or_not_at_all(tmp_path):
+    (tmp_path / "t" / "k=1").mkdir(parents=True), (tmp_path / "t" / "k=2").mkdir()
+    for x in ("t/k=1/part-0", "t/k=2/part-0", "t/_SUCCESS", "t/k=1/.part-0.crc"):
+        (tmp_path / x).write_text(x)
+    assert [n for n, _ in publish.pieces([str(tmp_path / "t")])] == ["t-k=1-part-0", "t-k=2-part-0"]
+    (tmp_path / "empty").mkdir(), (tmp_path / "t-k=1-part-0").write_text("x")
+    for files in (["empty"], ["t", "t-k=1-part-0"]):
+        with pytest.raises(OSError):
+            publish.pieces([str(tmp_path / f) for f in files])
+
+
 def test_stream_ingest_takes_each_file_once(spark, tmp_path):
     source, target, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
     (tmp_path / "in").mkdir()
