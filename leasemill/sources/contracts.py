@@ -18,7 +18,7 @@ log = logging.getLogger(__name__)
 
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "false",
+    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "encoding": "UTF-8",
@@ -50,8 +50,9 @@ def typed(raw: DataFrame, schema: T.StructType = CONTRACTS) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CONTRACTS) -> DataFrame:
-    """Contracts from CSV files with a header in the order of ``schema``. Malformed UTF-8 becomes U+FFFD; lines may be split
-    between tasks, so large files are read in parallel."""
+    """Contracts from CSV files with a header in the order of ``schema``. Malformed UTF-8 becomes U+FFFD. Line
+    breaks inside quotes stay in the value, so no file is split between tasks: one task reads a file, as a stream, and files
+    are read in parallel. A quote that is never closed takes the rest of its file with it."""
     return typed(spark.read.schema(as_strings(schema)).options(**CSV_OPTIONS).csv(path), schema)
 
 

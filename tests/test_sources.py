@@ -42,6 +42,24 @@ def test_csv(spark, tmp_path):
     assert d.contract_id == "bad�"
 
 
+@pytest.mark.parametrize("value", ["a\nb", "a\r\nb", "a\rb", 'a\n\n"b",\n', "\n"])
+def test_line_breaks_in_values_come_back(spark, tmp_path, value):
+    rows = [tuple({"contract_id": f"C{i}", "area_name_en": value, CONTRACTS.names[-1]: value if isinstance(CONTRACTS[-1].dataType, T.StringType) else None}.get(c) for c in CONTRACTS.names) for i in range(3)]
+    df = spark.createDataFrame(rows, CONTRACTS)
+    C.write_csv(df, str(tmp_path / "x"))
+    assert sorted(C.read_csv(spark, str(tmp_path / "x")).collect()) == sorted(df.collect())
+    streamed = ingest.ingest_new_files(spark, str(tmp_path / "x"), str(tmp_path / "out"), str(tmp_path / "progress"))
+    streamed.awaitTermination()
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(df.collect())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_ends_are_no_part_of_a_value(spark, tmp_path, end):
+    (tmp_path / "x.csv").write_bytes(CSV.replace("\n", end).encode())
+    (tmp_path / "y.csv").write_bytes(CSV.encode())
+    assert C.read_csv(spark, str(tmp_path / "x.csv")).collect() == C.read_csv(spark, str(tmp_path / "y.csv")).collect()
+
+
 def test_csv_to_parquet(spark, tmp_path):
     (tmp_path / "x.csv").write_text(CSV)
     seen = []
