@@ -161,7 +161,10 @@ def changes(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     wanted = diff.select("later", "kind", "k1", "k2", F.explode(F.array(*ask)).alias("x")).filter(F.col("x.v").isNotNull()).select("later", "kind", "k1", "k2", "x.*")
     # Rows of lines that did not differ are dropped before the shuffle, as far as a bit array of fixed size can tell.
     full = might_hold(keyed(df), bit_words(wanted, "k1"), "k1")
-    found = full.join(wanted, ["k1", "k2", "snap", "v", "t"])
+    # Equal deliveries of a line become one before the shuffle; of amounts that round alike the largest counts, as below.
+    same = ["k1", "k2", "snap", "v", "t"]
+    full = full.groupBy(*same).agg(*[F.max(c).alias(c) for c in ("contract_id", "line_number", "annual_amount", "contract_end_date")])
+    found = full.join(wanted, same)
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
     sides = [(s, c) for s in ("old", "new") for c in ("annual_amount", "contract_end_date")]
     kinds = F.array(*[F.lit(str(k)) for k in KINDS])

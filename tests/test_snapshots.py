@@ -83,6 +83,31 @@ def test_thinning(spark, monkeypatch):
     assert list(S._thin([])) == []
 
 
+def shuffled(spark):
+    """Records that all stages so far have written to the shuffle."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    gateway = sc._gateway
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_equal_deliveries_of_a_differing_line_are_not_shuffled(spark):
+    t = datetime(2025, 1, 1)
+    rows = [(D(2025, 1 + i % 2, 1), "H", 1, 1.0 + i % 2 + i % 3 * 1e-4, None, t) for i in range(6000)] + [(D(2025, 1, 1), "Z", 1, 1.0, None, t)]
+    df, before = frame(spark, rows), shuffled(spark)
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for x in settings:
+        spark.conf.set(x, "-1")  # as if too many lines differed for a broadcast
+    try:
+        out = {r.contract_id: r for r in S.changes(df).collect()}
+    finally:
+        for x in settings:
+            spark.conf.unset(x)
+    assert shuffled(spark) - before < 1000
+    assert (out["H"].old_annual_amount, out["H"].new_annual_amount) == (1.0002, 2.0002) and out["Z"].change_kind == "removed"
+
+
 def test_few_snapshots(spark):
     t = datetime(2025, 1, 1)
     assert got(frame(spark, [])) == set()
