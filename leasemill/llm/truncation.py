@@ -18,7 +18,8 @@ the cut are looked past.
 Only texts without a closing mark are followed up. Corpus counts are combined in each task and shuffled only if their key
 is among the keys asked for, which a bit array of fixed size tells (a false positive costs a row of shuffle, nothing else).
 
-Defined results: null, empty and blank texts are no cases; repeated texts are judged alike and are all cases; a null source
+Defined results: null, empty and blank texts are no cases, nor are texts without a letter, mark or digit (only emoji, say)
+unless they end with a broken character; repeated texts are judged alike and are all cases; a null source
 is a source; a corpus too small to know anything flags only broken characters at the end. Whole texts are read.
 """
 
@@ -210,7 +211,7 @@ LONGEST_WORD = 100
 
 
 def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """One row for each text that is not blank: the kept columns and what its end looks like."""
+    """One row for each text with a word, or without one but broken at the end: the kept columns and what its end looks like."""
     prepare(df)
     source = df.select(F.col(text).cast("string").alias("_text_"), *keep)
     out = T.StructType([*source.schema.fields[1:], *TAIL.fields[1:]])
@@ -253,10 +254,24 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             columns.append(pa.array(["9" in w for w in last_words], pa.bool_()))
             kept = b.take(pa.array(rows)).columns[1:] if len(rows) else [pa.array([], c.type) for c in b.columns[1:]]
             yield pa.RecordBatch.from_arrays([*kept, *columns], names=out.names)
+            wordless = np.setdiff1d(np.arange(len(texts)), rows)
+            lost = [r for r in wordless.tolist() if texts[r] and texts[r].rstrip().endswith(BROKEN)]
+            if lost:
+                yield wordless_tails(b.take(pa.array(lost)), out)
 
     return source.mapInArrow(run, out)
 
 
+def wordless_tails(b: pa.RecordBatch, out: T.StructType) -> pa.RecordBatch:
+    """The rows of :func:`tails` for texts without a word that end with a broken character; they have no contexts."""
+    texts = b.column(0).to_pylist()
+    sizes = [pa.array([len(t) for t in texts], pa.int64()), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64())]
+    text_hash = pa.array(_signed(np.array([word_hash(t) for t in texts], np.uint64)), pa.int64())
+    flags = {"broken": True, "closed": False, "dangling": False, "ellipsis": False, "number": False}
+    rest = [pa.array([flags[f.name]] * len(texts), pa.bool_()) if f.name in flags else pa.nulls(len(texts), pa.int64()) for f in TAIL.fields[4:]]
+    return pa.RecordBatch.from_arrays([*b.columns[1:], *sizes, text_hash, *rest], names=out.names)
+
+
 def wanted_bits(open_tails: DataFrame) -> np.ndarray:
     """A bit array of fixed size with a bit for each key that is asked for; BITS / 8 bytes, whatever the number of texts."""
     rows = bit_words(open_tails.select(F.explode(F.array(*KEYS)).alias("key")), "key", BITS).toArrow()
@@ -343,7 +358,7 @@ def piled_lengths(open_tails: DataFrame, length: str) -> DataFrame:
 
 
 def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, ``truncated`` and ``evidence`` for every text that is not blank."""
+    """doc_id, source, ``truncated`` and ``evidence`` for every text that has a word or is broken at the end."""
     columns = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
     spark = df.sparkSession
     every = persist_table(tails(columns, ["doc_id", "source"]), "tails")
@@ -417,5 +432,5 @@ def evidence(rows: DataFrame) -> Column:
 
 
 def source_report(found: DataFrame) -> DataFrame:
-    """By source: texts that are not blank, cut ones, and their share."""
+    """By source: texts that have a word or are broken at the end, cut ones, and their share."""
     return found.groupBy("source").agg(F.count("*").alias("n_texts"), F.count_if("truncated").alias("n_truncated"), (F.count_if("truncated") / F.count("*")).alias("share"))

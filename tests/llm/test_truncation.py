@@ -95,6 +95,16 @@ def test_a_text_that_goes_on_is_no_evidence_of_an_end(spark, corpus):
     assert not any(found[i] for i, *_ in rows + whole)
 
 
+def test_broken_texts_without_a_word(spark, corpus):
+    rows, _ = corpus
+    odd = [(7000, "w", "\ufffd"), (7001, "w", "✅ \ufffd\ufffd\n"), (7002, None, "\ufffd"), (7003, "w", "✅"), (7004, "w", "\ufffd ✅")]
+    found = X.judged(frame(spark, rows + odd))
+    got = {r.doc_id: r.evidence for r in found.collect()}
+    assert [got.get(i) for i, *_ in odd] == ["broken character"] * 3 + [None] * 2 and {7003, 7004}.isdisjoint(got)
+    report = {r.source: (r.n_texts, r.n_truncated) for r in X.source_report(found).collect()}
+    assert (report["w"], report[None]) == ((2, 2), (1, 1))
+
+
 def brute_counts(texts, order):
     """(ended, went on) of every context of ``order`` words, from the tokens one by one."""
     out = Counter(), Counter()
