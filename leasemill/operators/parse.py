@@ -99,9 +99,15 @@ def _number(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _integer(values: pa.Array) -> pa.Array:
+    """Integers of 64 bits; what is none, or does not fit, is null."""
     text = _null_tokens(values)
-    fits = pc.fill_null(pc.match_substring_regex(text, r"\A-?[0-9]{1,18}\z"), False)
-    return pc.cast(pc.if_else(fits, text, pa.scalar(None, pa.string())), pa.int64())
+    digits = pc.fill_null(pc.match_substring_regex(text, r"\A-?[0-9]+\z"), False)
+    plain = pc.replace_substring_regex(pc.if_else(digits, text, pa.scalar(None, pa.string())), r"\A(-?)0+([0-9])", r"\1\2")
+    sign, size = pc.starts_with(plain, "-"), pc.replace_substring_regex(plain, r"\A-", "")
+    # Texts of equal length stand in the order of their numbers.
+    length, most = pc.utf8_length(size), pc.if_else(sign, str(2**63), str(2**63 - 1))
+    fits = pc.or_(pc.less(length, 19), pc.and_(pc.equal(length, 19), pc.less_equal(size, most)))
+    return pc.cast(pc.if_else(pc.fill_null(fits, False), plain, pa.scalar(None, pa.string())), pa.int64())
 
 
 def _day(values: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -3,7 +3,7 @@
 Rows become compact arrays: a 128-bit hash of the normal key and a 64-bit hash of the compared values. They are bucketed
 by key hash; in each bucket numpy sorts them, keeps the latest delivery of every line, and takes the differences of
 snapshots that follow each other with searchsorted. Only differing keys then fetch their full values, by a join on the
-hashes.
+hashes. The table is read twice, and its day column once before.
 
 Defined results: a line is (contract_id without surrounding white space and in upper case, line_number), a null in either
 being a value like any other; of several deliveries the latest loaded_at holds, a null loaded_at being the earliest, and
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leasemill.functions.exprs import strip
-from leasemill.operators.bits import bit_words, might_hold
+from leasemill.operators.bits import bit_words, bits_for, might_hold
 from leasemill.session import persist_table, ship_package
 
 #: Rows that one bucket should hold on average; a bucket's arrays take about 100 bytes a row while it is worked on.
@@ -137,30 +137,40 @@ _EMPTY = pa.table({c: pa.array([], pa.int32() if c == "kind" else pa.int64()) fo
 _DIFF_SCHEMA = ", ".join(f"{c} {'int' if c == 'kind' else 'bigint'}" for c in _DIFF)
 
 
-def snapshot_days(df: DataFrame) -> list[int]:
-    """The days of the snapshots as numbers, in order; one for each delivery comes to the driver."""
-    return sorted(r[0] for r in keyed(df).select("snap").distinct().collect())
+def snapshot_days(df: DataFrame) -> tuple[list[int], int]:
+    """The days of the snapshots as numbers, in order, one for each delivery, and the number of rows. Reads one column."""
+    day = F.unix_date(F.col("snapshot_date").cast("date")).cast("bigint")
+    found = df.filter(F.col("snapshot_date").isNotNull()).groupBy(day.alias("snap")).agg(F.count("*").alias("n")).collect()
+    return sorted(r.snap for r in found), sum(r.n for r in found)
 
 
-def differing_keys(df: DataFrame, days: list[int], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def differing_keys(df: DataFrame, days: list[int], n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Differing keys by hash: the two days, kind, k1, k2 and the hash and time of the rows that hold."""
     spark = df.sparkSession
     ship_package(spark)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + df.count() // rows_per_bucket)  # a count of Parquet reads footers only
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + n_rows // rows_per_bucket)
     rows = keyed(df).select(F.pmod(F.col("k1"), F.lit(buckets)).cast("int").alias("bucket"), "snap", "k1", "k2", "v", "t")
     known = np.array(days, np.int64)
     return rows.mapInArrow(_thin, rows.schema).groupBy("bucket").applyInArrow(lambda table: _difference(table, known), _DIFF_SCHEMA)
 
 
+def candidates(df: DataFrame, wanted: DataFrame, n_keys: int, n_rows: int) -> DataFrame:
+    """The rows that may belong to differing keys. Others are dropped before the shuffle, as far as a bit array sized by the
+    number of keys can tell; where most lines differ, or too many for an array, all rows go on."""
+    bits = bits_for(n_keys)
+    rows = keyed(df)
+    return rows if bits is None or 2 * n_keys > n_rows else might_hold(rows, bit_words(wanted, "k1", bits), "k1", bits)
+
+
 def changes(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """snapshot_date (of the later one), contract_id, line_number, change_kind, and annual_amount and contract_end_date
     before and after. One row for each differing line and pair of snapshots that follow each other."""
-    diff = persist_table(differing_keys(df, snapshot_days(df), rows_per_bucket), "differing")
+    days, n_rows = snapshot_days(df)
+    diff = persist_table(differing_keys(df, days, n_rows, rows_per_bucket), "differing")
     # A differing key asks for the row that held in each snapshot: one request for an added or removed line, two for a changed one.
     ask = [F.struct(F.lit(side).alias("side"), F.col(day).alias("snap"), F.col(f"v_{side}").alias("v"), F.col(f"t_{side}").alias("t")) for side, day in (("new", "later"), ("old", "earlier"))]
     wanted = diff.select("later", "kind", "k1", "k2", F.explode(F.array(*ask)).alias("x")).filter(F.col("x.v").isNotNull()).select("later", "kind", "k1", "k2", "x.*")
-    # Rows of lines that did not differ are dropped before the shuffle, as far as a bit array of fixed size can tell.
-    full = might_hold(keyed(df), bit_words(wanted, "k1"), "k1")
+    full = candidates(df, wanted, diff.count(), n_rows)
     # Equal deliveries of a line become one before the shuffle; of amounts that round alike the largest counts, as below.
     same = ["k1", "k2", "snap", "v", "t"]
     full = full.groupBy(*same).agg(*[F.max(c).alias(c) for c in ("contract_id", "line_number", "annual_amount", "contract_end_date")])

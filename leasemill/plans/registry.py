@@ -362,7 +362,7 @@ def _p4_cell(i: int, kind: str) -> str:
     if kind == "date":
         return f"CASE WHEN regexp_full_match({x}, '[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}') THEN CAST(try_strptime({x}, '%d-%m-%Y') AS DATE) END"
     if kind == "int":
-        return f"CASE WHEN regexp_full_match({x}, '-?[0-9]{{1,18}}') THEN CAST({x} AS BIGINT) END"
+        return f"CASE WHEN regexp_full_match({x}, '-?[0-9]+') THEN TRY_CAST({x} AS BIGINT) END"
     return f"CASE WHEN regexp_full_match({x}, '-?[0-9]+(\\.[0-9]+)?') THEN CAST({x} AS DOUBLE) END"
 
 

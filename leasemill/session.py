@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -31,20 +33,47 @@ def build_session(app: str = "leasemill", master: str | None = None, conf: dict[
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests, a single machine) one is made and set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of ``spark.checkpoint.dir``. Where it is unset a folder of this machine is made, if all of the session runs
+    on it (tests, a laptop), and removed at exit; on a cluster that is an error, for executors would not see each other's files."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        known = spark.sparkContext.getCheckpointDir()
-        path = known or Path(tempfile.mkdtemp(prefix="leasemill-")).as_uri()
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set, and {master} needs a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="leasemill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = Path(folder).as_uri()
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/leasemill/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/leasemill/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in the part that belongs to this application."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def store_path(spark: SparkSession, name: str) -> str:
+    """The path of a store that later applications find again under its name."""
+    return f"{shared_dir(spark).rstrip('/')}/leasemill-stores/{name}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The path as Hadoop knows it, and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Remove all intermediate tables this application has written. Results that were not written elsewhere are lost with
+    them; stores stay."""
+    path, fs = file_system(spark, _own_folder(spark))
+    fs.delete(path, True)
 
 
 def persist_table(df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +83,19 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that may come to the driver to be given to every task.
+MOST_LOCAL_ROWS = 20_000
+
+
+def small_or_stored(df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
+    """The rows of ``df``, computed once: held by the driver, with their number, if there are at most ``MOST_LOCAL_ROWS`` of
+    them, else written to the shared folder."""
+    rows = df.limit(MOST_LOCAL_ROWS + 1).toArrow()
+    if rows.num_rows <= MOST_LOCAL_ROWS:
+        return df.sparkSession.createDataFrame(rows, df.schema), rows.num_rows
+    return persist_table(df, name), None
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, wherever they start: a zip in the shared folder, once for each application."""
     sc = spark.sparkContext
@@ -64,9 +106,9 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, os.path.join(root.name, file.relative_to(root)))
-    target = f"{shared_path(spark, 'package')}.zip"
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    target = f"{shared_dir(spark).rstrip('/')}/leasemill-packages/{sc.applicationId}.zip"
+    path, fs = file_system(spark, target)
+    out = fs.create(path)
     out.write(bytearray(packed.getvalue()))
     out.close()
     sc.addPyFile(target)

@@ -137,3 +137,12 @@ def test_typed_rows(spark):
 def test_tiny_batches(n):
     reason, columns = P.parse_lines(pa.array([GOOD] * n, pa.string()))
     assert len(reason) == n and all(len(c) == n for c in columns)
+
+
+def test_integers_of_64_bits():
+    import pyarrow as pa
+
+    from leasemill.operators.parse import _integer
+
+    texts = {"1234567890123456789": 1234567890123456789, str(2**63 - 1): 2**63 - 1, str(2**63): None, str(-(2**63)): -(2**63), str(-(2**63) - 1): None, "0" * 30 + "12": 12, "-00": 0, "9" * 40: None, " 7\t": 7, "-": None, "1.5": None, "": None}
+    assert _integer(pa.array([*texts, None])).to_pylist() == [*texts.values(), None]

@@ -122,7 +122,10 @@ def test_columns_of_both_forms_agree(spark):
 
 
 def test_bits(spark):
-    from leasemill.operators.bits import bit_words, might_hold
+    from leasemill.operators.bits import MOST_BITS, bit_words, bits_for, might_hold
+
+    assert bits_for(0) == bits_for(4096) == 1 << 16 and bits_for(4097) == 1 << 17 and bits_for(MOST_BITS // 2) == MOST_BITS
+    assert bits_for(MOST_BITS // 2 + 1) is None
 
     keys = spark.range(200).selectExpr("xxhash64(id) AS k").unionByName(spark.createDataFrame([(None,), (-1,), (2**63 - 1,)], "k bigint"))
     every = spark.range(2000).selectExpr("xxhash64(id) AS k", "id")
@@ -132,4 +135,13 @@ def test_bits(spark):
         passed = {r.id for r in might_hold(every, words, "k", bits).collect()}
         assert set(range(200)) <= passed
     assert len(passed) < 220
-    assert might_hold(keys, bit_words(keys, "k"), "k").count() == 202
+    assert might_hold(keys, bit_words(keys, "k", 1 << 20), "k", 1 << 20).count() == 202
+
+
+@pytest.mark.parametrize("most", [True, False])
+def test_most_lines_differ_or_too_many(spark, monkeypatch, most):
+    t = datetime(2025, 1, 1)
+    rows = [(D(2025, m, 1), f"L{i}", 1, float(m * (i % 4 == 0 or most)), None, t) for m in (1, 2, 3) for i in range(400)]
+    if not most:
+        monkeypatch.setattr(S, "bits_for", lambda n: None)
+    assert got(frame(spark, rows)) == brute(rows)
