@@ -1,4 +1,5 @@
-"""Market reports over the contract table. Every function takes and returns a DataFrame and runs no job.
+"""Market reports over the contract table. Every function takes and returns a DataFrame. Those with medians scan the table
+twice, the first time when they are called (see ``ranks``); the others run no job.
 
 A missing optional column gives an empty frame without columns; no valid rows give an empty result with its columns.
 """
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.functions.exprs import psf, psf_in_band, valid_area, valid_rent
-from leasemill.operators.ranks import medians, nearest_ranks, with_medians
+from leasemill.operators.ranks import group_figures, nearest_ranks
 from leasemill.settings import LIMITS
 
 
@@ -33,12 +34,15 @@ def nothing(df: DataFrame) -> DataFrame:
 RENT_STATS = ["contract_count", "avg_rent", "median_rent", "min_rent", "max_rent"]
 
 
-def stats_by(rows: DataFrame, key: str, extra: dict[str, Column] | None = None, middles: dict[str, Column] | None = None) -> DataFrame:
-    """Rent figures (and further ones) of each group. Medians are selected, not buffered: see ``ranks``."""
-    rent = F.col("annual_amount")
-    simple = {"contract_count": F.count("*"), "avg_rent": F.avg(rent), "min_rent": F.min(rent), "max_rent": F.max(rent)} | (extra or {})
-    stats = rows.groupBy(key).agg(*[c.alias(n) for n, c in simple.items()])
-    return with_medians(stats, rows, [key], {"median_rent": rent} | (middles or {}))
+def rent_stats(value: str = "rent") -> list[Column]:
+    """The figures of a rent as columns, from its struct."""
+    return [F.col(f"{value}.{c}").alias(name) for name, c in zip(RENT_STATS, ("n", "mean", "median", "min", "max"))]
+
+
+def stats_by(rows: DataFrame, key: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """Rent figures of each group of rows with a valid rent, and the structs of further values (see ``group_figures``)."""
+    found = group_figures(rows, [key], {"rent": F.col("annual_amount")} | (more or {}))
+    return found.select(key, *rent_stats(), *(more or {}))
 
 
 def share_of(count: str) -> Column:
@@ -63,10 +67,10 @@ def area_stats(df: DataFrame, area: str = "area_name_en") -> DataFrame:
     """Figures of each area with at least ten contracts, the largest first."""
     if area not in df.columns or "actual_area" not in df.columns:
         return nothing(df)
-    stats = stats_by(psf_metrics(df), area, {"avg_psf": F.avg("psf"), "avg_area": F.avg("actual_area")}, {"median_psf": F.col("psf")})
+    stats = stats_by(psf_metrics(df), area, {"by_foot": F.col("psf"), "size": F.col("actual_area")})
     return (
         stats.filter(F.col("contract_count") >= LIMITS.min_area_sample_size)
-        .select(area, *RENT_STATS, "avg_psf", "median_psf", "avg_area")
+        .select(area, *RENT_STATS, F.col("by_foot.mean").alias("avg_psf"), F.col("by_foot.median").alias("median_psf"), F.col("size.mean").alias("avg_area"))
         .orderBy(F.desc("contract_count"), F.asc_nulls_first(area))
     )
 
@@ -141,24 +145,23 @@ def market_summary(df: DataFrame) -> DataFrame:
     """One row. ``total_contracts`` counts all rows and is null where no rent is valid; ``usage_breakdown`` is an array of
     structs in the order of ``usage_segments``."""
     require(df, "annual_amount", "property_usage_en")
-    ok, rent = valid_rent(), F.col("annual_amount")
-    figures = {
-        "total_contracts": F.when(F.count_if(ok) > 0, F.count("*")),
-        "avg_rent": F.avg(F.when(ok, rent)),
-        "min_rent": F.min(F.when(ok, rent)),
-        "max_rent": F.max(F.when(ok, rent)),
-    }
-    shown = ["total_contracts", "avg_rent", "median_rent", "min_rent", "max_rent"]
-    middles = {"median_rent": F.when(ok, rent)}
+    # Every row counts, whatever its rent: "every" is a number in all of them.
+    values = {"every": F.lit(0.0), "rent": F.when(valid_rent(), F.col("annual_amount"))}
     if "actual_area" in df.columns:
-        banded = F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())
-        figures["avg_psf"] = F.avg(banded)
-        middles["median_psf"] = banded
-        shown += ["avg_psf", "median_psf"]
-    overall = df.agg(*[c.alias(n) for n, c in figures.items()]).withColumn("_m", medians(df, middles)).select("*", "_m.*").select(*shown)
-    fields = ["contract_count", "property_usage_en", "avg_rent", "median_rent", "min_rent", "max_rent", "market_share_pct"]
-    breakdown = usage_segments(df).agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("usage_breakdown"))
-    return overall.withColumn("usage_breakdown", breakdown.scalar())
+        values["banded"] = F.when(psf_in_band(F.col("property_usage_en"), psf()), psf())
+    found = group_figures(df, ["property_usage_en"], values, overall=True)
+    whole = lambda c: F.max(F.when(F.col("_all"), F.col(c)))
+    n = F.col("rent.n")
+    segment = F.struct(n.alias("contract_count"), "property_usage_en", *[c for c in rent_stats()[1:]])
+    one = found.agg(
+        F.when(F.coalesce(whole("rent.n"), F.lit(0)) > 0, whole("every.n")).alias("total_contracts"),
+        *[whole(f"rent.{c}").alias(f"{name}_rent") for c, name in (("mean", "avg"), ("median", "median"), ("min", "min"), ("max", "max"))],
+        *([whole("banded.mean").alias("avg_psf"), whole("banded.median").alias("median_psf")] if "banded" in values else []),
+        F.coalesce(whole("rent.n"), F.lit(0)).alias("_n"),
+        F.sort_array(F.collect_list(F.when(~F.col("_all") & (n > 0), segment)), asc=False).alias("_segments"),
+    )
+    with_share = F.transform("_segments", lambda x: x.withField("market_share_pct", F.try_divide(x["contract_count"], F.col("_n")) * F.lit(100.0)))
+    return one.withColumn("usage_breakdown", with_share).drop("_n", "_segments")
 
 
 def summary_dict(df: DataFrame) -> dict:

@@ -1,15 +1,20 @@
-"""Validation of the contract table: all counts in one aggregate, the outlier rule in a second."""
+"""Validation of the contract table in two scans: the first takes all counts and the buckets of the rents, the second the few
+rents that decide the quartiles and the bounds of the outlier rule."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leasemill.functions.buckets import INFINITE, SMALLEST, bucket_text, gamma
 from leasemill.functions.exprs import duration_days, valid_rent
-from leasemill.operators.ranks import medians, nearest_ranks
+from leasemill.operators.ranks import COARSE, group_figures, within
+from leasemill.session import persist_table
 from leasemill.settings import DATE_FIELDS, LIMITS, NUMERIC_FIELDS, REQUIRED_FIELDS
 
 
@@ -82,41 +87,79 @@ def date_order_violations(df: DataFrame) -> DataFrame:
     return df.filter(F.col("contract_end_date") <= F.col("contract_start_date"))
 
 
-def rule_counts(df: DataFrame) -> DataFrame:
-    """One row: ``n_rows`` and, for each counted rule, ``n_<i>`` and ``base_<i>``; a single pass over the table."""
+#: The bucket of a valid rent, as SQL.
+RENT_BUCKET = bucket_text("CAST(annual_amount AS DOUBLE)", COARSE)
+
+
+def rule_aggregates(df: DataFrame) -> list[Column]:
+    """``n_rows`` and, for each counted rule, ``n_<i>`` and ``base_<i>``."""
     aggs = [F.count("*").alias("n_rows")]
     for i, r in enumerate(rules(df)):
         aggs.append(F.count_if(r.bad).alias(f"n_{i}"))
         aggs.append(F.count_if(r.base if r.base is not None else F.lit(False)).alias(f"base_{i}"))
-    return df.agg(*aggs)
+    return aggs
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """(rule, field, severity, n_bad, n_base) of every counted rule, hits or not."""
+    """(rule, field, severity, n_bad, n_base) of every counted rule, hits or not; one scan."""
     rs = rules(df)
     items = [
         F.struct(F.lit(r.name).alias("rule"), F.lit(r.field).alias("field"), F.lit(r.severity).alias("severity"), F.col(f"n_{i}").alias("n_bad"), F.when(F.lit(r.base is not None), F.col(f"base_{i}")).alias("n_base"))
         for i, r in enumerate(rs)
     ]
-    return rule_counts(df).select(F.inline(F.array(*items)))
+    return df.agg(*rule_aggregates(df)).select(F.inline(F.array(*items)))
+
+
+def bucketed_counts(df: DataFrame) -> DataFrame:
+    """The counts of all rules by the bucket ``_b`` of the rent (null: no valid rent), stored: one scan, and a bounded table."""
+    bucket = F.when(valid_rent(), F.expr(RENT_BUCKET)) if "annual_amount" in df.columns else F.lit(None).cast("int")
+    return persist_table(df.groupBy(bucket.alias("_b")).agg(*rule_aggregates(df)), "rules")
+
+
+def _outlier_counts(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row (n, n_outliers). The buckets of the quartiles tell within which rents the bounds of the rule lie: rents of
+    other buckets are outliers or not by their bucket alone, and only the rest are read again."""
+    held = counts.filter(F.col("_b").isNotNull())
+    sums = {r._b: r.n_rows for r in held.select("_b", "n_rows").collect()}  # one row for each bucket, bounded
+    total, spark = sum(sums.values()), df.sparkSession
+    if not total:
+        return spark.createDataFrame([(0, 0)], "n bigint, n_outliers bigint")
+    upto = dict(zip(sorted(sums), accumulate(sums[b] for b in sorted(sums))))
+    asked = {t: math.floor((total - 1) * q + 0.5) for t, q in (("q1", 0.25), ("q3", 0.75))}
+    b1, b3 = (next(b for b, n in upto.items() if n > asked[t]) for t in ("q1", "q3"))
+    g, k = gamma(COARSE), LIMITS.outlier_iqr_multiplier
+    # One bucket more on either side, for the rounding of a bucket's number. Bounds beyond all doubles are infinite.
+    edge = lambda b: math.exp(min(b * math.log(g), 709.0)) if b < INFINITE else math.inf
+    (l1, h1), (l3, h3) = ((edge(b - 2), edge(b + 1)) for b in (b1, b3))
+    place = lambda x: -INFINITE if not x > SMALLEST else INFINITE if math.isinf(x) else math.ceil(math.log(x) / math.log(g))
+    low = (place(l1 - k * (h3 - l1)) - 2, place(h1 - k * (l3 - h1)) + 2)
+    high = (place(l3 + k * (l3 - h1)) - 2, place(h3 + k * (h3 - l1)) + 2)
+    b = F.expr(RENT_BUCKET)
+    near = b.isin(b1, b3) | b.between(*low) | b.between(*high)
+    rents = df.filter(valid_rent() & near).groupBy(F.col("annual_amount").cast("double").alias("v")).agg(F.count("*").alias("n"))
+    rents = persist_table(rents.withColumns({"_s": F.lit(1), "_b": F.expr(bucket_text("v", COARSE))}), "rents")
+    places = [(t, n, upto[x] - sums[x], x) for (t, n), x in zip(asked.items(), (b1, b3))]
+    quartile = lambda t: F.max(F.when(F.col("rank_tag") == t, F.col("v")))
+    cells = F.array(*[F.struct(F.lit(t).alias("rank_tag"), F.lit(n).cast("bigint").alias("rank"), F.lit(below).cast("bigint").alias("below"), F.lit(x).alias("_at")) for t, n, below, x in places])
+    found = within(rents.select("*", F.inline(cells)).filter(F.col("_at") == F.col("_b")), []).agg(F.struct(quartile("q1").alias("q1"), quartile("q3").alias("q3"))).scalar()
+    reach = k * (F.col("q.q3") - F.col("q.q1"))
+    out = (F.col("v") < F.col("q.q1") - reach) | (F.col("v") > F.col("q.q3") + reach)
+    unsure = lambda x: low[0] <= x <= low[1] or high[0] <= x <= high[1]
+    sure = sum(n for x, n in sums.items() if (x < low[0] or x > high[1]) and not unsure(x))
+    decided = F.col("_b").between(*low) | F.col("_b").between(*high)
+    return rents.withColumn("q", found).agg(F.lit(total).cast("bigint").alias("n"), (F.coalesce(F.sum(F.when(out & decided, F.col("n"))), F.lit(0)) + sure).cast("bigint").alias("n_outliers"))
 
 
 def outliers(df: DataFrame) -> DataFrame:
     """One row (n, n_outliers) over rows with a valid rent: outside q1 - k*iqr .. q3 + k*iqr by nearest-rank quartiles."""
-    rows = df.filter(valid_rent())
-    rent = F.col("annual_amount")
-    quartiles = nearest_ranks(rows, {"q1": (rent, 0.25), "q3": (rent, 0.75)})
-    marked = rows.select(F.col("annual_amount").alias("v")).withColumn("q", quartiles)
-    reach = LIMITS.outlier_iqr_multiplier * (F.col("q.q3") - F.col("q.q1"))
-    out = (F.col("v") < F.col("q.q1") - reach) | (F.col("v") > F.col("q.q3") + reach)
-    return marked.agg(F.count("*").alias("n"), F.count_if(out).alias("n_outliers"))
+    return _outlier_counts(df, bucketed_counts(df.select("annual_amount")))
 
 
 def findings(df: DataFrame, strict: bool = False) -> DataFrame:
     """Findings with hits: (rule, field, severity, n_bad, pct, message). An empty table gives its one error.
 
-    ``strict`` raises the severity of missing required values only. Schema findings need no job; all counts come from one
-    pass and the outlier rule from a second.
+    ``strict`` raises the severity of missing required values only. Schema findings need no job; the table is scanned twice,
+    the first time when this is called.
     """
     spark = df.sparkSession
     schema_rows = []
@@ -128,7 +171,9 @@ def findings(df: DataFrame, strict: bool = False) -> DataFrame:
         if c in df.columns and not isinstance(df.schema[c].dataType, numeric):
             schema_rows.append(("type", c, "warning", None, None, f"Field '{c}' is not numeric type: {df.schema[c].dataType.simpleString()}"))
     rs = rules(df)
-    counts = rule_counts(df).select("*", F.col("n_rows").alias("total"))
+    stored = bucketed_counts(df)
+    names = [c for c in stored.columns if c != "_b"]
+    counts = stored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).withColumn("total", F.col("n_rows"))
     items = []
     for i, r in enumerate(rs):
         n, pct = F.col(f"n_{i}"), F.try_divide(F.col(f"n_{i}"), F.col(f"base_{i}")) * F.lit(100.0)
@@ -148,7 +193,7 @@ def findings(df: DataFrame, strict: bool = False) -> DataFrame:
     if schema_rows:
         out = out.unionByName(spark.createDataFrame(schema_rows, FINDINGS))
     if "annual_amount" in df.columns:
-        o = outliers(df).filter((F.col("n") >= LIMITS.min_outlier_sample) & (F.col("n_outliers") > 0))
+        o = _outlier_counts(df, stored).filter((F.col("n") >= LIMITS.min_outlier_sample) & (F.col("n_outliers") > 0))
         pct = F.col("n_outliers") / F.col("n") * F.lit(100.0)
         message = F.concat(F.lit("Detected "), F.format_number("n_outliers", 0), F.lit(" statistical outliers in rent amounts ("), F.format_string("%.2f", pct), F.lit("%)"))
         out = out.unionByName(o.select(F.lit("outliers").alias("rule"), F.lit("annual_amount").alias("field"), F.lit("info").alias("severity"), F.col("n_outliers").alias("n_bad"), pct.alias("pct"), message.alias("message")))
@@ -193,20 +238,21 @@ def validate(df: DataFrame, strict: bool = False, sample_rows: int | None = None
 
 
 def load_stats(df: DataFrame, top: int = 5) -> DataFrame:
-    """One row: rows, columns, null rents, min, max, mean and median of the rent, and the most frequent usages."""
+    """One row: rows, columns, missing rents (null or NaN), min, max, mean and median of the rent, and the most frequent
+    usages. Two scans."""
     rent = F.col("annual_amount")
-    stats = df.agg(
-        F.count("*").alias("n_rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-        F.count_if(rent.isNull()).alias("null_rents"),
-        F.min(rent).alias("min_rent"),
-        F.max(rent).alias("max_rent"),
-        F.avg(rent).alias("avg_rent"),
-    ).withColumn("median_rent", medians(df, {"m": rent})["m"])
-    if "property_usage_en" not in df.columns:
-        return stats
-    best = top_usages(df, top).agg(F.sort_array(F.collect_list(F.struct("n", "property_usage_en")), asc=False).alias("x"))
-    return stats.withColumn("top_usages", best.scalar())
+    keys = ["property_usage_en"] if "property_usage_en" in df.columns else []
+    found = group_figures(df, keys, {"every": F.lit(0.0), "rent": rent}, overall=True)
+    whole = lambda c: F.max(F.when(F.col("_all"), F.col(c)))
+    n_rows, n_rents = (F.coalesce(whole(c), F.lit(0)) for c in ("every.n", "rent.n"))
+    stats = [n_rows.alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_columns"), (n_rows - n_rents).alias("null_rents")]
+    stats += [whole(f"rent.{c}").alias(f"{name}_rent") for c, name in (("min", "min"), ("max", "max"), ("mean", "avg"), ("median", "median"))]
+    if keys:
+        usage = F.struct(F.col("every.n").alias("n"), "property_usage_en")
+        # Most rows first; of usages with as many, the null one and then the first by name.
+        before = lambda a, b: F.when(a["n"] != b["n"], F.when(a["n"] > b["n"], -1).otherwise(1)).when(a["property_usage_en"].eqNullSafe(b["property_usage_en"]), 0).when(a["property_usage_en"].isNull(), -1).when(b["property_usage_en"].isNull(), 1).when(a["property_usage_en"] < b["property_usage_en"], -1).otherwise(1)
+        stats.append(F.slice(F.array_sort(F.collect_list(F.when(~F.col("_all"), usage)), before), 1, top).alias("top_usages"))
+    return found.agg(*stats)
 
 
 def top_usages(df: DataFrame, top: int = 5) -> DataFrame:

@@ -7,35 +7,31 @@ from pyspark.sql import functions as F
 
 from leasemill.functions.exprs import pct_change, psf, valid_area, valid_rent
 from leasemill.operators.market import require, share_of
-from leasemill.operators.ranks import with_medians
+from leasemill.operators.ranks import group_figures
 
 
 def usage_report(df: DataFrame, report_date: Column | None = None) -> DataFrame:
     """Rent, area and unbanded psf by usage. Ordered by count.
 
-    Area figures ignore whether the rent is valid; usages without any valid rent do not come out. All figures but the
-    medians come from one aggregation; the medians are selected in a second pass (see ``ranks``), so that no group, however
-    large, is held in memory.
+    Area figures ignore whether the rent is valid; usages without any valid rent do not come out. All figures come from two
+    scans, the first of which is run when this is called (see ``ranks``); no group, however large, is held in memory.
     """
     require(df, "annual_amount", "property_usage_en")
-    rows = df.filter(F.col("property_usage_en").isNotNull())
-    ok, rent = valid_rent(), F.col("annual_amount")
-    valid = F.when(ok, rent)
-    figures = {"no_of_contracts": F.count_if(ok), "avg_rent": F.avg(valid), "min_rent": F.min(valid), "max_rent": F.max(valid), "std_rent": F.stddev_samp(valid)}
-    medians = {"median_rent": valid}
-    shown = ["property_usage_en", "no_of_contracts", "avg_rent", "median_rent", "min_rent", "max_rent", "std_rent", "market_share_pct"]
+    key = "property_usage_en"
+    values = {"rent": F.when(valid_rent(), F.col("annual_amount"))}
+    shown = {"no_of_contracts": "rent.n", "avg_rent": "rent.mean", "median_rent": "rent.median", "min_rent": "rent.min", "max_rent": "rent.max", "std_rent": "rent.std"}
+    more = {}
     if "actual_area" in df.columns:
-        area = F.when(valid_area(), F.col("actual_area"))
-        figures |= {"avg_area_sqft": F.avg(area), "avg_psf": F.avg(psf())}
-        medians |= {"median_area_sqft": area, "median_psf": psf()}
-        shown += ["avg_area_sqft", "median_area_sqft", "avg_psf", "median_psf"]
-    stats = rows.groupBy("property_usage_en").agg(*[c.alias(n) for n, c in figures.items()]).filter(F.col("no_of_contracts") > 0)
+        values |= {"area": F.when(valid_area(), F.col("actual_area")), "psf": psf()}
+        more = {"avg_area_sqft": "area.mean", "median_area_sqft": "area.median", "avg_psf": "psf.mean", "median_psf": "psf.median"}
+    found = group_figures(df.filter(F.col(key).isNotNull()), [key], values).filter(F.col("rent.n") > 0)
+    picked = [F.col(c).alias(name) for name, c in (shown | more).items()]
     return (
-        with_medians(stats, rows, ["property_usage_en"], medians)
+        found.select(key, *picked)
         .withColumn("market_share_pct", share_of("no_of_contracts"))
-        .select(*shown)
+        .select(key, *shown, "market_share_pct", *more)
         .withColumn("report_date", F.current_date() if report_date is None else report_date)
-        .orderBy(F.desc_nulls_first("no_of_contracts"), "property_usage_en")
+        .orderBy(F.desc_nulls_first("no_of_contracts"), key)
     )
 
 

@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Day of the expiry reports, fixed so that results repeat.
 REPORT_DAY = "2025-04-01"
-OFF_TIES = 3.14159e-6
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +36,26 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Means, deviations and shares to four decimals, for engines add in different orders; ``OFF_TIES`` is added first, for
-    they round numbers that lie halfway differently."""
-    return df.withColumns({c: F.round(F.col(c) + F.lit(OFF_TIES), 4) for c in columns})
+    """Means, deviations and shares to four decimals. Engines add in different orders, so the last bits of a double differ: the
+    figures become decimals of seven places first, which are the same, and these are rounded, halves away from zero. What is
+    too large for that, or no number, stays as it is."""
+    return df.withColumns({c: F.expr(f"coalesce(cast(round(try_cast(`{c}` AS DECIMAL(38, 7)), 4) AS DOUBLE), `{c}`)") for c in columns})
+
+
+def rounded_sql(sql: str) -> str:
+    """The SQL with each ``round(x, 4)`` done in decimals, as :func:`rounded` does it."""
+    out, at = [], 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 1, start + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = rounded_sql(sql[start + 6 : end - 1])
+        whole = start == 0 or not (sql[start - 1].isalnum() or sql[start - 1] == "_")
+        x = inner.removesuffix(", 4")
+        out += [sql[at:start], f"CAST(round(TRY_CAST({x} AS DECIMAL(38, 7)), 4) AS DOUBLE)" if whole and x != inner else f"round({inner})"]
+        at = end
+    return "".join(out) + sql[at:]
 
 
 def on_contracts(f: Callable[[DataFrame], DataFrame]) -> Query:
@@ -450,4 +466,4 @@ def oracle_sql() -> dict[str, str]:
     }
     from leasemill.plans import files
 
-    return {k: v.replace(", 4)", f" + {OFF_TIES}, 4)") for k, v in q.items()} | files.oracle_sql()
+    return {k: rounded_sql(v) for k, v in q.items()} | files.oracle_sql()

@@ -11,6 +11,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -87,12 +88,12 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
 MOST_LOCAL_ROWS = 20_000
 
 
-def small_or_stored(df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
-    """The rows of ``df``, computed once: held by the driver, with their number, if there are at most ``MOST_LOCAL_ROWS`` of
-    them, else written to the shared folder."""
+def small_or_stored(df: DataFrame, name: str) -> tuple[DataFrame, pa.Table | None]:
+    """The rows of ``df``, computed once: held by the driver, also as a table of its own, if there are at most
+    ``MOST_LOCAL_ROWS`` of them, else written to the shared folder."""
     rows = df.limit(MOST_LOCAL_ROWS + 1).toArrow()
     if rows.num_rows <= MOST_LOCAL_ROWS:
-        return df.sparkSession.createDataFrame(rows, df.schema), rows.num_rows
+        return df.sparkSession.createDataFrame(rows, df.schema), rows
     return persist_table(df, name), None
 
 

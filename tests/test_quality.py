@@ -56,6 +56,17 @@ def test_outliers(spark):
     assert (o.n, o.n_outliers) == (21, 1)
 
 
+@pytest.mark.parametrize("spread", [0.01, 0.5, 3.0])
+def test_outliers_against_brute_force(spark, spread):
+    rents = np.exp(np.random.default_rng(int(spread * 10)).normal(9, spread, 3000)).round(2)
+    rents = [*rents.tolist(), *[float(np.median(rents))] * 500, 1e300, -5.0, float("nan"), float("inf")]
+    valid = sorted(x for x in rents if x > 0)
+    q1, q3 = (valid[int((len(valid) - 1) * q + 0.5)] for q in (0.25, 0.75))
+    o = quality.outliers(spark.createDataFrame([(x,) for x in rents] + [(None,)], "annual_amount double")).first()
+    assert (o.n, o.n_outliers) == (len(valid), sum(x < q1 - 3 * (q3 - q1) or x > q3 + 3 * (q3 - q1) for x in valid))
+    assert quality.outliers(spark.createDataFrame([(None,)], "annual_amount double")).first().n == 0
+
+
 def test_load_stats(spark):
     df = spark.createDataFrame([(50000.0, "Residential"), (75000.0, "Commercial"), (100000.0, "Residential"), (None, "Commercial")], "annual_amount double, property_usage_en string")
     r = quality.load_stats(df).first()
@@ -63,30 +74,29 @@ def test_load_stats(spark):
     assert sorted((x.property_usage_en, x.n) for x in r.top_usages) == [("Commercial", 2), ("Residential", 2)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.none(), st.sampled_from([0.0, 1.0, -1.0, 2.5]), st.floats(-1e9, 1e9)), max_size=40))
 def test_ranks_are_exact(spark, values):
     df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(values)], "x double, g int")
     got = {r.tag: r.v for r in ranks.nearest_rank(df, df.x, {"a": 0.25, "b": 0.8}).collect()}
     every = sorted(v for v in values if v is not None)
     assert got == ({t: every[int(q * (len(every) - 1) + 0.5)] for t, q in (("a", 0.25), ("b", 0.8))} if every else {})
-    med = {r.g: (r.m, r.m2) for r in ranks.grouped_medians(df, ["g"], {"m": df.x, "m2": -df.x}).collect()}
-    for g in (0, 1):
-        x = [v for i, v in enumerate(values) if i % 2 == g and v is not None]
-        assert (g in med) == bool(x)
+    found = {(r._all, r.g): r for r in ranks.group_figures(df, ["g"], {"m": df.x, "m2": -df.x}, overall=True).collect()}
+    for g in (0, 1, None):
+        x = [v for i, v in enumerate(values) if g in (i % 2, None) and v is not None]
+        assert ((g is None, g) in found) == bool(x)
         if x:
-            assert med[g] == pytest.approx((np.median(x), -np.median(x)))
-    overall = spark.range(1).withColumn("m", ranks.medians(df, {"a": df.x, "b": -df.x})).withColumn("q", ranks.nearest_ranks(df, {"lo": (df.x, 0.0), "hi": (df.x, 1.0)})).first()
-    assert (overall.m.a, overall.m.b) == (pytest.approx((np.median(every), -np.median(every))) if every else (None, None))
-    assert (overall.q.lo, overall.q.hi) == ((every[0], every[-1]) if every else (None, None))
+            m, m2 = found[g is None, g].m, found[g is None, g].m2
+            assert (m.n, m.min, m.max, m.median, m2.median) == (len(x), min(x), max(x), pytest.approx(np.median(x)), pytest.approx(-np.median(x)))
+            assert m.mean == pytest.approx(np.mean(x)) and m.std == (pytest.approx(np.std(x, ddof=1), abs=1e-6) if len(x) > 1 else None)
+    q = spark.range(1).withColumn("q", ranks.nearest_ranks(df, {"lo": (df.x, 0.0), "hi": (df.x, 1.0)})).first().q
+    assert (q.lo, q.hi) == ((every[0], every[-1]) if every else (None, None))
 
 
 def test_medians_with_null_key_hot_value_and_odd_numbers(spark):
-    rows = [(None, 7.0)] * 500 + [(None, float(i)) for i in range(100)] + [(1, 3.0), (1, float("nan")), (1, float("inf")), (2, None)]
+    rows = [(None, 7.0)] * 500 + [(None, float(i)) for i in range(100)] + [(1, 3.0), (1, float("nan")), (1, float("inf")), (1, 4.0), (2, None)]
     df = spark.createDataFrame(rows, "g int, x double")
-    med = {r.g: r.m for r in ranks.grouped_medians(df, ["g"], {"m": df.x}).collect()}
-    assert med == {None: 7.0, 1: 3.0}
-    stats = df.groupBy("g").count()
-    assert {r.g: r.m for r in ranks.with_medians(stats, df, ["g"], {"m": df.x}).collect()} == {None: 7.0, 1: 3.0, 2: None}
+    got = {r.g: r.m for r in ranks.group_figures(df, ["g"], {"m": df.x}).collect()}
+    assert {g: m.median for g, m in got.items()} == {None: 7.0, 1: 4.0} and got[1].max == float("inf")
     counts = spark.createDataFrame([(1, 5.0, 10), (1, 6.0, 10), (2, 1.0, 3)], "g int, v double, n bigint")
     assert {r.g: r["median"] for r in ranks.exact_medians(counts, ["g"]).collect()} == {1: 5.5, 2: 1.0}
