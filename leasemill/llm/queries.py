@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leasemill.llm import encode, mojibake, packing, sketch, truncation
-from leasemill.plans.registry import OFF_TIES, rounded, table
+from leasemill.plans.registry import rounded, rounded_sql, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,6 @@ def _p5_sql(keys: list[str]) -> str:
 
 def oracle_sql() -> dict[str, str]:
     sketches = {"p5_percentiles": _p5_sql(["property_usage_en", "area_name_en"]), "p5_by_usage": _p5_sql(["property_usage_en"]), "p5_by_area": _p5_sql(["area_name_en"])}
-    return {k: v.replace(", 4)", f" + {OFF_TIES}, 4)") for k, v in sketches.items()} | {
+    return {k: rounded_sql(v) for k, v in sketches.items()} | {
         "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     }

@@ -7,32 +7,43 @@ ordered values; the returned value v of the true x satisfies |v - x| <= alpha *
 
 Defined results: null, NaN and infinite values are counted as ``n_skipped`` and take no part; null group values form
 groups of their own; a group without any value gives one row for each percentile with a null value; an empty table gives
-no rows. All states are bounded: :func:`leasemill.functions.buckets.bucket_limit` buckets for a group, whatever its rows.
+no rows. All states are bounded: :func:`bucket_limit` buckets for a group, whatever its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+import sys
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leasemill.functions.buckets import bucket_of, bucket_value, is_finite, sign_of, signed_order
+from leasemill.functions.buckets import SMALLEST, bucket_text, gamma, sign_text
 
 ALPHA = 0.01
 BUCKET = ["skipped", "sign", "bucket"]
 
 
+def bucket_limit(alpha: float) -> int:
+    """The most buckets that finite doubles can fill: both signs and the zero."""
+    return 2 * math.ceil((math.log(sys.float_info.max) - math.log(SMALLEST)) / math.log(gamma(alpha))) + 3
+
+
+def bucket_value(sign: Column, bucket: Column, alpha: float) -> Column:
+    """The value whose relative distance to either bound of the bucket is at most ``alpha``; the largest double at most."""
+    g = gamma(alpha)
+    size = F.pow(F.lit(g), bucket.cast("double") - 1.0) * F.lit(2.0 * g / (g + 1.0))
+    return F.when(sign == 0, F.lit(0.0)).otherwise(sign * F.least(size, F.lit(sys.float_info.max)))
+
+
 def build(df: DataFrame, keys: list[str], value: str, alpha: float = ALPHA) -> DataFrame:
     """The sketch of each group: keys, skipped, sign, bucket, n. One scan of the keys and the value, one shuffle of counts."""
-    if clash := {*BUCKET, "n"} & {*keys}:
+    if clash := {*BUCKET, "n", "_v"} & {*keys}:
         raise ValueError(f"a key may not be named {sorted(clash)}")
-    v = F.col(value).cast("double")
-    ok = is_finite(v)
-    rows = df.select(
-        *keys,
-        (~ok).alias("skipped"),
-        F.when(ok, sign_of(v)).alias("sign"),
-        F.when(ok, bucket_of(v, alpha)).alias("bucket"),
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).selectExpr(
+        *[f"`{k}`" for k in keys], "NOT coalesce(NOT isnan(_v) AND abs(_v) < CAST('Infinity' AS DOUBLE), false) AS skipped", "_v"
     )
+    rows = rows.selectExpr(*[f"`{k}`" for k in keys], "skipped", f"CASE WHEN NOT skipped THEN {sign_text('_v')} END AS sign", f"CASE WHEN NOT skipped THEN {bucket_text('_v', alpha)} END AS bucket")
     return rows.groupBy(*keys, *BUCKET).agg(F.count("*").alias("n"))
 
 
@@ -50,7 +61,7 @@ def percentiles(sketch: DataFrame, keys: list[str], qs: list[float], alpha: floa
 
     The running sum goes over the buckets of a group, whose number is bounded, not over its rows.
     """
-    order = signed_order(F.col("sign"), F.col("bucket"))
+    order = F.struct("sign", (F.col("bucket") * F.col("sign")).alias("place"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     running = group.orderBy(F.col("skipped"), order).rowsBetween(Window.unboundedPreceding, 0)
     values, skipped = F.when(~F.col("skipped"), F.col("n")), F.when(F.col("skipped"), F.col("n"))

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from leasemill.functions.buckets import bucket_limit
+from leasemill.llm.sketch import bucket_limit
 from leasemill.llm import sketch as S
 
 QS = [0.0, 0.25, 0.5, 0.9, 1.0]
