@@ -1,9 +1,9 @@
 """Problem 1: a profile of columns from persistent value-count tables.
 
 State: one row for each (group, column, value) with the number of rows that hold it. A load arrives as a signed delta of
-the same shape (:func:`delta`, ``sign=-1`` takes rows away); :func:`merge` adds deltas to a state and drops what has come
-to zero; :class:`CountStore` keeps the versions of a state as tables. Every figure of the profile is derived exactly from
-the counts, never from the rows again.
+the same shape (:func:`delta`, ``sign=-1`` takes rows away); :class:`CountStore` keeps the deltas as a log at a named place,
+merges them now and then, and knows which loads it has: :meth:`CountStore.refresh` adds the loads that are new, and takes
+back what has changed or gone. Every figure of the profile is derived exactly from the counts, never from the rows again.
 
 Defined results: a null counts as null, and so does NaN in a number; -0.0 is 0.0; a null group is a group of its own; rows
 repeated in the input all count; an empty table gives an empty state and an empty profile; columns other than those asked
@@ -12,14 +12,17 @@ for are not read, whatever their names.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leasemill.operators.ranks import exact_medians
-from leasemill.session import shared_path
+from leasemill.session import file_system, shared_path
 
 STATE = T.StructType(
     [
@@ -47,8 +50,8 @@ class ColumnRule:
         return self.labels is None
 
 
-def delta(df: DataFrame, rules: list[ColumnRule], group: str | Column, sign: int = 1) -> DataFrame:
-    """The signed value counts of a load. One scan of the asked columns; equal values are combined before the shuffle."""
+def _cells(df: DataFrame, rules: list[ColumnRule], group: str | Column) -> DataFrame:
+    """grp, column_name, num, txt: one row for each row and column."""
     g = (F.col(group) if isinstance(group, str) else group).cast("bigint").alias("grp")
     cells = []
     for r in rules:
@@ -58,8 +61,27 @@ def delta(df: DataFrame, rules: list[ColumnRule], group: str | Column, sign: int
             cells.append(F.struct(F.lit(r.name).alias("column_name"), num.alias("num"), F.lit(None).cast("string").alias("txt")))
         else:
             cells.append(F.struct(F.lit(r.name).alias("column_name"), F.lit(None).cast("double").alias("num"), F.col(r.name).alias("txt")))
-    rows = df.select(g, F.inline(F.array(*cells)))
-    return rows.groupBy(*KEY).agg((F.count("*") * F.lit(sign)).alias("n")).select(*STATE.names)
+    return df.select(g, F.inline(F.array(*cells)))
+
+
+def delta(df: DataFrame, rules: list[ColumnRule], group: str | Column, sign: int = 1) -> DataFrame:
+    """The signed value counts of a load. One scan of the asked columns; equal values are combined before the shuffle."""
+    return _cells(df, rules, group).groupBy(*KEY).agg((F.count("*") * F.lit(sign)).alias("n")).select(*STATE.names)
+
+
+#: More loads than this are no list of deliveries.
+MOST_LOADS = 100_000
+
+
+def fingerprints(cells: DataFrame, n: str = "1L") -> dict[int | None, list[int]]:
+    """What tells one content of a group from another: its cells, and two sums over hashes of them, from single cells or from
+    counted ones (``n``). One row for each group comes to the driver; equal groups are combined before the shuffle."""
+    h = "xxhash64(column_name, num IS NULL, num, txt IS NULL, txt)"
+    parts = [f"sum({n}) AS cells", f"sum({n} * pmod({h}, 16777216L)) AS low", f"sum({n} * pmod(shiftright({h}, 24), 16777216L)) AS high"]
+    rows = cells.groupBy("grp").agg(*map(F.expr, parts)).limit(MOST_LOADS + 1).collect()
+    if len(rows) > MOST_LOADS:
+        raise ValueError(f"more than {MOST_LOADS} loads")
+    return {r.grp: [r.cells, r.low, r.high] for r in rows}
 
 
 def merge(*parts: DataFrame) -> DataFrame:
@@ -72,36 +94,125 @@ def merge(*parts: DataFrame) -> DataFrame:
 
 
 class CountStore:
-    """Versions of a state below one folder: ``v1``, ``v2`` and so on. A version counts only once its success marker is
-    there; a lost executor only repeats its tasks, and a lost driver finds the newest whole version again."""
+    """A state as a log of signed deltas below one folder, which a later run finds again by its path.
+
+    A list (``list-n.json``) names the parts of version n: tables of counts, each distinct in its keys. A delta is written as
+    a new part, at a cost that grows with the delta only. Parts are merged like the digits of a binary counter, when one is
+    at most twice as large as all after it: a row is rewritten some log2(parts) times in all, and there are as few parts. A
+    version counts once its list is there, which is made in one step and never overwritten; what failed before that is not
+    seen. Parts and lists older than the version before are removed.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or shared_path(spark, "counts")
-        self.version = self._newest() if path else 0
+        self.list: dict = {"version": 0, "parts": [], "loads": [], "columns": None, "batch": -1}
+        if path:
+            self._find()
+
+    def _lists(self) -> dict[int, str]:
+        pattern, fs = file_system(self.spark, f"{self.path}/list-*.json")
+        found = [f.getPath().toString() for f in fs.globStatus(pattern) or []]
+        return {int(f.rsplit("-", 1)[1].removesuffix(".json")): f for f in found}
+
+    def _find(self) -> None:
+        """Read the newest list that is whole."""
+        for _, file in sorted(self._lists().items(), reverse=True):
+            try:
+                self.list = json.loads("".join(r.value for r in self.spark.read.text(file, wholetext=True).collect()))
+                return
+            except ValueError:
+                continue
 
-    def _newest(self) -> int:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/v*/_SUCCESS")
-        whole = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return max((int(f.getPath().getParent().getName()[1:]) for f in whole or []), default=0)
+    @property
+    def version(self) -> int:
+        return self.list["version"]
 
-    def read(self) -> DataFrame:
-        if not self.version:
+    def _part(self, df: DataFrame) -> dict:
+        name = f"part-{uuid.uuid4().hex}"
+        df.select(*STATE.names).write.parquet(f"{self.path}/{name}")
+        return {"name": name, "rows": self._read(name).count(), "groups": None}
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(STATE).parquet(f"{self.path}/{name}")
+
+    def _sum(self, parts: list[dict]) -> DataFrame:
+        """The parts added up. Parts that are known to share no group have no key in common and are not shuffled."""
+        if not parts:
             return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.path}/v{self.version}")
-
-    def apply(self, *deltas: DataFrame, onto: int | None = None) -> DataFrame:
-        """Add deltas to the newest version, or to the version ``onto``, and return the next one. Repeating a call with the
-        same ``onto`` replaces what it wrote, so that a replayed load counts once. A delta is distinct in its keys already:
-        a first single one is stored as it is."""
-        if onto is not None:
-            self.version = onto
-        new = deltas[0] if not self.version and len(deltas) == 1 else merge(*([self.read()] if self.version else []), *deltas)
-        new.write.mode("overwrite").parquet(f"{self.path}/v{self.version + 1}")
-        self.version += 1
+        tables = [self._read(p["name"]) for p in parts]
+        groups = [g for p in parts for g in p["groups"] or []]
+        if len(parts) == 1 or (all(p["groups"] is not None for p in parts) and len(set(groups)) == len(groups)):
+            return reduce(DataFrame.unionByName, tables)
+        return merge(*tables)
+
+    def read(self) -> DataFrame:
+        """The state. A single part is read as it is, so counts of a delta that took away what was never there show."""
+        return self._sum(self.list["parts"])
+
+    def _commit(self, parts: list[dict], **more) -> None:
+        parts = [p for p in parts if p["rows"]]
+        while len(parts) > 1 and parts[-2]["rows"] <= 2 * parts[-1]["rows"]:
+            start = len(parts) - 2
+            while start and parts[start - 1]["rows"] <= 2 * sum(p["rows"] for p in parts[start:]):
+                start -= 1
+            known = all(p["groups"] is not None for p in parts[start:])
+            groups = sorted({g for p in parts[start:] for g in p["groups"]}, key=str) if known else None
+            parts = parts[:start] + [p for p in [self._part(merge(*[self._read(p["name"]) for p in parts[start:]])) | {"groups": groups}] if p["rows"]]
+        before, self.list = self.list, self.list | {"version": self.version + 1, "parts": parts} | more
+        path, fs = file_system(self.spark, f"{self.path}/list-{self.version:09d}.json")
+        out = fs.create(path, False)
+        out.write(bytearray(json.dumps(self.list).encode()))
+        out.close()
+        kept = {p["name"] for p in parts} | {p["name"] for p in before["parts"]}
+        every, _ = file_system(self.spark, f"{self.path}/part-*")
+        for f in fs.globStatus(every) or []:
+            if f.getPath().getName() not in kept:
+                fs.delete(f.getPath(), True)
+        for version, file in self._lists().items():
+            if version < self.version - 1:
+                fs.delete(file_system(self.spark, file)[0], False)
+
+    def apply(self, *deltas: DataFrame, batch: int | None = None) -> DataFrame:
+        """Add deltas and return the state. ``batch``: a number that rises; one that was applied already is passed over, so
+        that a batch that is replayed after a failure counts once."""
+        if batch is None or batch > self.list["batch"]:
+            self._commit([*self.list["parts"], *map(self._part, deltas)], batch=self.list["batch"] if batch is None else batch)
+        return self.read()
+
+    def refresh(self, df: DataFrame, rules: list[ColumnRule], group: str) -> DataFrame:
+        """Bring the state up to date with the loads (values of ``group``) of a table, and return it.
+
+        Each load is a signed delta of its own group. A store without loads takes all of them in one scan. Later ones compare
+        the fingerprints of the loads, for which values are not shuffled, and scan only loads that are new or have changed; the
+        counts of changed and vanished loads are taken back by what the store holds of them, with the sign turned.
+        """
+        columns = [r.name for r in rules]
+        if self.list["columns"] not in (None, columns):
+            raise ValueError(f"the store at {self.path} counts {self.list['columns']}")
+        held = {g: f for g, *f in self.list["loads"]}
+        if not held:
+            part = self._part(delta(df, rules, group))
+            seen = fingerprints(self._read(part["name"]), "n")
+            parts = [part | {"groups": list(seen)}]
+        else:
+            seen = fingerprints(_cells(df, rules, group))
+            fresh = [g for g in seen if held.get(g) != seen[g]]
+            stale = [g for g in held if g in fresh or g not in seen]
+            if not fresh and not stale:
+                return self.read()
+            parts = [self._part(self.read().filter(_among("grp", stale)).withColumn("n", -F.col("n"))) | {"groups": stale}] if stale else []
+            if fresh:
+                parts.append(self._part(delta(df.filter(_among(group, fresh)), rules, group)) | {"groups": fresh})
+        self._commit([*self.list["parts"], *parts], loads=[[g, *f] for g, f in seen.items()], columns=columns)
         return self.read()
 
 
+def _among(column: str, values: list[int | None]) -> Column:
+    c = F.col(column).cast("bigint")
+    named = c.isin([v for v in values if v is not None]) if any(v is not None for v in values) else F.lit(False)
+    return F.coalesce(named, F.lit(False)) | c.isNull() if None in values else F.coalesce(named, F.lit(False))
+
+
 def total(state: DataFrame) -> DataFrame:
     """The state with the groups added up (``grp`` null): what a profile of the whole table is derived from."""
     return state.groupBy("column_name", "num", "txt").agg(F.sum("n").alias("n")).select(F.lit(None).cast("bigint").alias("grp"), "column_name", "num", "txt", "n")
@@ -184,21 +295,24 @@ def label_shares(state: DataFrame, rule: ColumnRule) -> DataFrame:
 
 
 def distribution_change(state: DataFrame) -> DataFrame:
-    """Total-variation distance between the value distributions of each group and the whole table: grp, column_name,
-    ``shift`` in 0..1, half the sum of the absolute differences of the shares of the non-null values."""
-    live = state.filter(~_is_null())
-    sizes = live.groupBy("grp", "column_name").agg(F.sum("n").alias("_g")).select(F.col("grp").alias("_grp"), F.col("column_name").alias("_c"), "_g")
-    whole = live.groupBy("column_name", "num", "txt").agg(F.sum("n").alias("_w")).select(F.col("column_name").alias("_c2"), F.col("num").alias("_num"), F.col("txt").alias("_txt"), "_w")
-    wholes = live.groupBy("column_name").agg(F.sum("n").alias("_t")).select(F.col("column_name").alias("_c3"), "_t")
-    c = F.col
-    # Values absent from a group add their whole share: 1 minus the whole shares of the values that are there.
-    joined = (
-        live.join(whole, (c("column_name") == c("_c2")) & c("num").eqNullSafe(c("_num")) & c("txt").eqNullSafe(c("_txt")))
-        .join(wholes, c("column_name") == c("_c3"))
-        .join(sizes, c("grp").eqNullSafe(c("_grp")) & (c("column_name") == c("_c")))
+    """How the non-null values of each group are distributed otherwise than those of the group before it, by number, and of the
+    whole table: grp, column_name, ``shift`` (null for the first) and ``shift_whole``. Total-variation distances in 0..1,
+    half the sum of the absolute differences of the shares. A group without values of a column has no part in it.
+
+    A value's rows, at most one for each group, meet in one window; no value is joined to all groups.
+    """
+    value = "column_name, num, txt"
+    return state.sparkSession.sql(
+        f"""WITH live AS (SELECT * FROM {{state}} WHERE num IS NOT NULL OR txt IS NOT NULL),
+        sizes AS (SELECT grp AS g, column_name AS c, sum(n) AS size, sum(sum(n)) OVER (PARTITION BY column_name) AS every,
+          dense_rank() OVER (PARTITION BY column_name ORDER BY grp) AS place FROM live GROUP BY grp, column_name),
+        shares AS (SELECT grp, column_name, place, n / size AS p, sum(n) OVER (PARTITION BY {value}) / every AS q,
+          lag(n / size) OVER (PARTITION BY {value} ORDER BY place) AS p0, lag(place) OVER (PARTITION BY {value} ORDER BY place) AS place0
+          FROM live JOIN sizes ON grp <=> g AND column_name = c)
+        SELECT grp, column_name, CASE WHEN place > 1 THEN 1 - coalesce(sum(least(p, p0)) FILTER (WHERE place0 = place - 1), 0) END AS shift,
+          1 - sum(least(p, q)) AS shift_whole FROM shares GROUP BY grp, column_name, place""",
+        state=state,
     )
-    p, q = F.col("n") / F.col("_g"), F.col("_w") / F.col("_t")
-    return joined.groupBy("grp", "column_name").agg(((F.sum(F.abs(p - q)) + F.lit(1.0) - F.sum(q)) / 2).alias("shift"))
 
 
 #: How far a figure may lie from the median over the groups.

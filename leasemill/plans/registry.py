@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from leasemill.operators import market as M
 from leasemill.operators import parse, profile, quality, ranks, snapshots, star, usage
 from leasemill.plans.sqlapi import run_sql
 from leasemill.schema import DIMENSIONS, JOIN_KEYS
+from leasemill.session import shared_path, store_path
 from leasemill.settings import (
     AREA_TIERS,
     COMMERCIAL_USAGE,
@@ -131,10 +133,11 @@ def profile_rules(usage_labels: tuple[str, ...]) -> list[profile.ColumnRule]:
 
 
 def load_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[profile.ColumnRule]]:
-    """The count tables of all loads, written to the shared folder: the rows are scanned once, whatever is asked later."""
+    """The count tables of all loads, from the store of this table: loads that an earlier run has counted are not counted
+    again (see ``CountStore.refresh``), whatever is asked of them."""
     rules = profile_rules(labels(spark, sf_dir))
-    store = profile.CountStore(spark)
-    return store.apply(profile.delta(contracts(spark, sf_dir), rules, "load_id")), rules
+    store = profile.CountStore(spark, store_path(spark, f"rent_contracts-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"))
+    return store.refresh(contracts(spark, sf_dir), rules, "load_id"), rules
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,15 +145,30 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.departures(state, rules).withColumnRenamed("grp", "load_id")
 
 
-def p1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state, rules = load_state(spark, sf_dir)
+def _profile_by_load(state: DataFrame, rules: list[profile.ColumnRule]) -> DataFrame:
     out = profile.profile(state, rules).drop("top_num", "top_txt").withColumnRenamed("grp", "load_id")
     return rounded(out, "null_rate", "bad_share", "top_share", "entropy")
 
 
+def p1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_by_load(*load_state(spark, sf_dir))
+
+
+def p1_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile after four runs on one store, each of which finds it by its path: the first half of the loads, one of them
+    delivered in part; all loads; the same again; and all but one, which is taken back."""
+    rules, rows = profile_rules(labels(spark, sf_dir)), contracts(spark, sf_dir)
+    path = shared_path(spark, "resumed")
+    half = rows.filter((F.col("load_id") <= 6) & ((F.col("load_id") != 3) | (F.col("line_number") == 1)))
+    for part in (half, rows, rows, rows.filter((F.col("load_id") != 2) | F.col("load_id").isNull())):
+        state = profile.CountStore(spark, path).refresh(part, rules, "load_id")
+    return _profile_by_load(state, rules)
+
+
 def p1_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each load differs from the load before it, and from the whole table."""
     state, _ = load_state(spark, sf_dir)
-    return rounded(profile.distribution_change(state), "shift").withColumnRenamed("grp", "load_id")
+    return rounded(profile.distribution_change(state), "shift", "shift_whole").withColumnRenamed("grp", "load_id")
 
 
 def p1_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +246,7 @@ def queries() -> dict[str, Query]:
         "silver_contracts": on_contracts(lambda df: star.silver(df).select(*LINE, "_has_date_issues", "_has_amount_issues")),
         "p1_found": p1_found,
         "p1_profile": p1_profile,
+        "p1_resumed": p1_resumed,
         "p1_shift": p1_shift,
         "p1_rolled": p1_rolled,
         "p3_found": p3_found,
@@ -341,11 +360,14 @@ def _p1_profile_sql(group: str, where: str) -> str:
 P1_SHIFT = f"""WITH cells AS ({CELLS}), live AS (SELECT * FROM cells WHERE {LIVE}),
 g AS (SELECT load_id, column_name, num, txt, count(*) AS n FROM live GROUP BY ALL),
 w AS (SELECT column_name, num, txt, count(*) AS w FROM live GROUP BY ALL),
-gs AS (SELECT load_id, column_name, sum(n) AS g FROM g GROUP BY ALL), ws AS (SELECT column_name, sum(w) AS t FROM w GROUP BY ALL)
-SELECT gs.load_id, gs.column_name, round(sum(abs(coalesce(g.n, 0) / gs.g - w.w / ws.t)) / 2, 4) AS shift
-FROM gs JOIN w ON gs.column_name = w.column_name JOIN ws ON ws.column_name = w.column_name
-LEFT JOIN g ON g.load_id IS NOT DISTINCT FROM gs.load_id AND g.column_name = w.column_name AND g.num IS NOT DISTINCT FROM w.num AND g.txt IS NOT DISTINCT FROM w.txt
-GROUP BY 1, 2"""
+gs AS (SELECT load_id, column_name, sum(n) AS g, row_number() OVER (PARTITION BY column_name ORDER BY load_id NULLS FIRST) AS place FROM g GROUP BY ALL),
+ws AS (SELECT column_name, sum(w) AS t FROM w GROUP BY ALL),
+d AS (SELECT gs.load_id, gs.column_name, abs(coalesce(g.n, 0) / gs.g - w.w / ws.t) AS x, abs(coalesce(g.n, 0) / gs.g - coalesce(o.n, 0) / os.g) AS y
+  FROM gs JOIN w ON gs.column_name = w.column_name JOIN ws ON ws.column_name = w.column_name
+  LEFT JOIN g ON g.load_id IS NOT DISTINCT FROM gs.load_id AND g.column_name = w.column_name AND g.num IS NOT DISTINCT FROM w.num AND g.txt IS NOT DISTINCT FROM w.txt
+  LEFT JOIN gs os ON os.column_name = gs.column_name AND os.place = gs.place - 1
+  LEFT JOIN g o ON o.load_id IS NOT DISTINCT FROM os.load_id AND os.place IS NOT NULL AND o.column_name = w.column_name AND o.num IS NOT DISTINCT FROM w.num AND o.txt IS NOT DISTINCT FROM w.txt)
+SELECT load_id, column_name, round(sum(y) / 2, 4) AS shift, round(sum(x) / 2, 4) AS shift_whole FROM d GROUP BY 1, 2"""
 
 P3_BASE = r"""WITH rows AS (SELECT snapshot_date, upper(regexp_replace(regexp_replace(contract_id, '^\s+', ''), '\s+$', '')) AS contract_id, line_number, round(annual_amount, 2) AS a, contract_end_date AS e, loaded_at FROM rent_contract_snapshots),
 held AS (SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY snapshot_date, contract_id, line_number ORDER BY loaded_at DESC) = 1),
@@ -457,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
         "silver_contracts": f"SELECT {line}, contract_start_date IS NULL OR contract_end_date IS NULL OR contract_end_date <= contract_start_date AS _has_date_issues, annual_amount IS NULL OR isnan(annual_amount) OR annual_amount <= 0 AS _has_amount_issues FROM rent_contracts",
         "p1_found": P1_FOUND,
         "p1_profile": _p1_profile_sql("load_id", "true"),
+        "p1_resumed": _p1_profile_sql("load_id", "load_id <> 2 OR load_id IS NULL"),
         "p1_shift": P1_SHIFT,
         "p1_rolled": _p1_profile_sql("", "load_id <> 1 OR load_id IS NULL"),
         "p3_found": P3_BASE + "SELECT strftime(d, '%Y-%m-%d') AS snapshot_date, contract_id, line_number, change_kind FROM diff",

@@ -44,11 +44,10 @@ def usage_counts(stream: DataFrame, event_time: str, window: str = "30 days", la
 
 
 def keep_profile(stream: DataFrame, store: profile.CountStore, rules: list[profile.ColumnRule], group: str | Column, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch becomes a delta that is merged into the store: batch n makes version n + 1 of version n. A batch that
-    is replayed after a failure, of this driver or a new one, writes the same version again and counts once. The store
-    belongs to the stream: it starts empty with it, at a path that a restart names again."""
+    """Each micro-batch becomes a delta in the store's log. A batch that is replayed after a failure, of this driver or a new
+    one, counts once. The store belongs to the stream: it starts empty with it, at a path that a restart names again."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        store.apply(profile.delta(batch, rules, group), onto=number)
+        store.apply(profile.delta(batch, rules, group), batch=number)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -54,33 +54,70 @@ def test_empty(spark):
     assert P.distribution_change(state).count() == 0
 
 
+def rows_of(df):
+    return {tuple(r) for r in df.collect()}
+
+
 def test_signed_deltas(spark):
     df = frame(spark, ROWS)
     store = P.CountStore(spark)
     assert store.read().count() == 0
     store.apply(P.delta(df, RULES, "load"))
     store.apply(P.delta(frame(spark, [(3, 1.0, "A")]), RULES, "load"), P.delta(df.filter("load = 1"), RULES, "load", sign=-1))
-    got = {tuple(r) for r in store.read().collect()}
-    wanted = {tuple(r) for r in P.delta(df.filter("load = 2 OR load IS NULL").unionByName(frame(spark, [(3, 1.0, "A")])), RULES, "load").collect()}
-    assert got == wanted and store.version == 2
+    wanted = P.delta(df.filter("load = 2 OR load IS NULL").unionByName(frame(spark, [(3, 1.0, "A")])), RULES, "load")
+    assert rows_of(store.read()) == rows_of(wanted) and store.version == 2
     under = P.merge(P.delta(frame(spark, [(9, 5.0, "A")]), RULES, "load", sign=-1))
     assert {r.n for r in under.collect()} == {-1}
 
 
-def test_versions_survive_and_replays_count_once(spark):
+def test_batches_survive_and_replays_count_once(spark):
     from leasemill.session import shared_path
 
     path = shared_path(spark, "store")
     store = P.CountStore(spark, path)
     one, two = (P.delta(frame(spark, [(g, 1.0, "A")]), RULES, "load") for g in (1, 2))
-    store.apply(one, onto=0)
-    store.apply(two, onto=1)
+    store.apply(one, batch=0)
+    store.apply(two, batch=1)
     again = P.CountStore(spark, path)
     assert again.version == 2 and {r.grp for r in again.read().collect()} == {1, 2}
-    again.apply(two, onto=1)
+    again.apply(two, batch=1)
     assert {r.n for r in again.read().collect()} == {1} and P.CountStore(spark, path).version == 2
 
 
+def test_refresh_takes_new_changed_and_vanished_loads(spark, tmp_path):
+    from leasemill.session import shared_path
+
+    path = shared_path(spark, "store")
+    loads = lambda *rows: frame(spark, list(rows))
+    a, b, n = (1, 5.0, "A"), (2, 6.0, "B"), (None, None, None)
+    for rows in ([], [a, a], [a, a, b, n], [a, a, b, n], [a, (1, 7.0, "A"), b], [b, n], [n]):
+        store = P.CountStore(spark, path)
+        version, state = store.version, store.refresh(loads(*rows), RULES, "load")
+        assert rows_of(state) == rows_of(P.delta(loads(*rows), RULES, "load")), rows
+        assert len(store.list["parts"]) <= 3
+    assert P.CountStore(spark, path).version == store.version == version + 1
+    with pytest.raises(ValueError, match="counts"):
+        P.CountStore(spark, path).refresh(loads(a), RULES[:1], "load")
+
+
+def test_a_small_load_is_not_paid_with_the_whole_state(spark, tmp_path):
+    import os
+
+    path = (tmp_path / "store").as_uri()
+    big = [(1, float(i), "A") for i in range(400)]
+    for i, rows in enumerate([big, *[[(g, 1.0, "A")] for g in range(2, 8)]]):
+        store = P.CountStore(spark, path)
+        store.apply(P.delta(frame(spark, rows), RULES, "load"))
+        first = first if i else store.list["parts"][0]["name"]  # noqa: F821
+        assert store.list["parts"][0]["name"] == first and len(store.list["parts"]) <= 5
+    assert sum(r.n for r in store.read().collect()) == 2 * 406
+    left = {x for x in os.listdir(tmp_path / "store") if x.startswith(("part", "list"))}
+    assert len([x for x in left if x.startswith("list")]) == 2 and len(left) <= 12
+    # A list that was not written whole is not seen.
+    (tmp_path / "store" / "list-000000099.json").write_text('{"version": 99')
+    assert P.CountStore(spark, path).version == store.version
+
+
 def test_total_equals_ungrouped(spark):
     df = frame(spark, ROWS)
     a = {(r.column_name, r.num, r.txt): r.n for r in P.total(P.delta(df, RULES, "load")).collect()}
@@ -89,9 +126,10 @@ def test_total_equals_ungrouped(spark):
 
 
 def test_shift(spark):
-    rows = [(1, 1.0, "A")] * 3 + [(2, 2.0, "A")]
-    s = {(r.grp, r.column_name): r["shift"] for r in P.distribution_change(P.delta(frame(spark, rows), RULES, "load")).collect()}
-    assert s[1, "amount"] == pytest.approx(0.25) and s[2, "amount"] == pytest.approx(0.75) and s[1, "usage"] == 0
+    rows = [(1, 1.0, "A")] * 3 + [(2, 2.0, "A")] + [(4, 2.0, "A"), (4, 3.0, None)]
+    s = {(r.grp, r.column_name): (r["shift"], r.shift_whole) for r in P.distribution_change(P.delta(frame(spark, rows), RULES, "load")).collect()}
+    assert s[1, "amount"] == (None, pytest.approx(0.5)) and s[2, "amount"] == (1, pytest.approx(2 / 3)) and s[4, "amount"][0] == pytest.approx(0.5)
+    assert s[1, "usage"] == (None, 0) and s[4, "usage"] == (0, 0)
 
 
 def test_departures(spark):
