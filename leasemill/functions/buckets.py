@@ -5,10 +5,6 @@ from __future__ import annotations
 import math
 import sys
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
 #: The smallest normal double; what is nearer to zero counts as zero.
 SMALLEST = sys.float_info.min
 #: Above the bucket of any finite value.
@@ -22,48 +18,11 @@ def gamma(alpha: float) -> float:
     return (1 + alpha) / (1 - alpha)
 
 
-def bucket_limit(alpha: float) -> int:
-    """The most buckets that finite doubles can fill: both signs and the zero."""
-    return 2 * math.ceil((math.log(sys.float_info.max) - math.log(SMALLEST)) / math.log(gamma(alpha))) + 3
-
-
-def is_number(c: Column) -> Column:
-    """Not null or NaN."""
-    return c.isNotNull() & ~F.isnan(c)
-
-
-def is_finite(c: Column) -> Column:
-    """Not null, NaN or infinite."""
-    return is_number(c) & (F.abs(c) != F.lit(float("inf")))
-
-
-def sign_of(c: Column) -> Column:
-    return F.when(c >= SMALLEST, 1).when(c <= -SMALLEST, -1).otherwise(0)
-
-
-def bucket_of(c: Column, alpha: float) -> Column:
-    """ceil(log_gamma |x|); 0 for a zero, ``INFINITE`` for infinite values. For numbers only."""
-    scaled = F.least(F.ceil(F.ln(F.abs(c)) / F.lit(math.log(gamma(alpha)))), F.lit(INFINITE))
-    return F.when(F.abs(c) >= SMALLEST, scaled).otherwise(F.lit(0)).cast("int")
-
-
-def signed_order(sign: Column, bucket: Column) -> Column:
-    """A number by which the buckets stand in the order of their values."""
-    return F.struct(sign.alias("s"), (bucket * sign).alias("b"))
-
-
-def bucket_value(sign: Column, bucket: Column, alpha: float) -> Column:
-    """The value whose relative distance to either bound of the bucket is at most ``alpha``; the largest double at most."""
-    g = gamma(alpha)
-    size = F.pow(F.lit(g), bucket.cast("double") - 1.0) * F.lit(2.0 * g / (g + 1.0))
-    return F.when(sign == 0, F.lit(0.0)).otherwise(sign * F.least(size, F.lit(sys.float_info.max)))
-
-
 def sign_text(c: str) -> str:
-    """The SQL of :func:`sign_of`; SQL text makes a plan with fewer calls between Python and the JVM."""
+    """-1, 0 or 1, as SQL; text makes a plan with fewer calls between Python and the JVM than columns do."""
     return f"CASE WHEN {c} >= {SMALLEST!r}D THEN 1 WHEN {c} <= -{SMALLEST!r}D THEN -1 ELSE 0 END"
 
 
 def bucket_text(c: str, alpha: float) -> str:
-    """The SQL of :func:`bucket_of`."""
+    """ceil(log_gamma |x|), 0 for a zero, ``INFINITE`` for infinite values, as SQL. For numbers only."""
     return f"CAST(CASE WHEN abs({c}) >= {SMALLEST!r}D THEN least(ceil(ln(abs({c})) / {math.log(gamma(alpha))!r}D), {INFINITE}L) ELSE 0L END AS INT)"

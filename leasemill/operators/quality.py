@@ -223,12 +223,17 @@ class ValidationResult:
         return "\n".join(lines)
 
 
+def sample(df: DataFrame, rows: int) -> DataFrame:
+    """Some rows of the table, at most so many, in no defined order; for a quick look."""
+    return df.limit(rows)
+
+
 def validate(df: DataFrame, strict: bool = False, sample_rows: int | None = None) -> ValidationResult:
     """Run the rules and gather the messages: at most one row for each rule comes to the driver.
 
     The whole table is validated; ``sample_rows`` looks at that many rows only, for a quick look.
     """
-    rows = findings(df if sample_rows is None else df.limit(sample_rows), strict).collect()
+    rows = findings(df if sample_rows is None else sample(df, sample_rows), strict).collect()
     if any(r["rule"] == "empty" for r in rows):
         return ValidationResult(errors=["DataFrame is empty"])
     result = ValidationResult()

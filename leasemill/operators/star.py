@@ -1,6 +1,6 @@
 """Star schema: six dimensions and the fact table.
 
-Surrogate keys are 64-bit hashes of the whole natural content, so the fact table gets its keys by computing the same hash:
+Surrogate keys are 128-bit hashes of the whole natural content (two of 10^13 rows share one once in some 10^12 tables), so the fact table gets its keys by computing the same hash:
 one row for each contract line, nulls included, without a join or a shuffle. ``sequence_key`` gives dense numbers where
 those are wanted. ``multiplicities`` reports what the published equality joins would yield, without running them: they
 fan out, because the dimensions are distinct over more columns than are joined.
@@ -15,14 +15,20 @@ from pyspark.sql import functions as F
 
 from leasemill.functions.exprs import date_key, duration_days, valid_rent
 from leasemill.schema import DIMENSIONS, JOIN_KEYS, MEASURES
+from leasemill.sources.contracts import write_parquet
 
 FIRST_DAY, LAST_DAY = "2020-01-01", "2035-12-31"
 
 
 def content_key(columns: list[str]) -> Column:
-    """Hash of the columns by position; a null differs from every value."""
-    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
-    return F.xxhash64(*parts)
+    """Hash of the columns by position, 16 bytes; a null differs from every value."""
+    parts = ", ".join(f"`{c}` IS NULL, `{c}`" for c in columns)
+    half = "lpad(hex(xxhash64({})), 16, '0')"
+    return F.expr(f"unhex(concat({half.format(parts)}, {half.format('17, ' + parts)}))")
+
+
+def content_bucket(columns: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))]), F.lit(buckets))
 
 
 def dimension(df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +40,7 @@ def dimension(df: DataFrame, name: str) -> DataFrame:
 def sequence_key(df: DataFrame, columns: list[str], name: str, buckets: int = 256) -> DataFrame:
     """Dense numbers 1..n in a fixed order (hash bucket, then the columns, nulls first), numbered bucket by bucket so
     that no task sorts the whole table. Rows that are equal in all columns are numbered in any order."""
-    marked = df.withColumn("_bucket", F.pmod(content_key(columns), F.lit(buckets)))
+    marked = df.withColumn("_bucket", content_bucket(columns, buckets))
     before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = marked.groupBy("_bucket").agg(F.count("*").alias("_n")).select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     number = F.row_number().over(Window.partitionBy("_bucket").orderBy(*[F.asc_nulls_first(c) for c in columns]))
@@ -68,14 +74,17 @@ def multiplicities(df: DataFrame) -> DataFrame:
     """Contract lines by usage and the rows the published equality joins would make of them.
 
     ``n_joined`` is the sum over the lines of the product of the numbers of dimension rows with their join key; a null key
-    joins nothing. Exact, and linear in the table.
+    joins nothing. Exact, in decimals, and linear in the table; numbers beyond 38 digits are an error.
     """
-    lines = df.withColumn("_rows", F.lit(1).cast("decimal(38,0)"))
+    lines = df
     for name, keys in JOIN_KEYS.items():
         per_key = dimension(df, name).groupBy(*keys).agg(F.count("*").alias(f"_n_{name}")).filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
         lines = lines.join(per_key, keys, "left")
-    product = reduce(lambda a, b: a * b, [F.coalesce(F.col(f"_n_{n}"), F.lit(0)).cast("double") for n in JOIN_KEYS])
-    return lines.groupBy("property_usage_en").agg(F.count("*").alias("n_lines"), F.sum(product).alias("n_joined"))
+    # Equal factors are multiplied once.
+    factors = [F.coalesce(F.col(f"_n_{n}"), F.lit(0)).alias(f"_n_{n}") for n in JOIN_KEYS]
+    lines = lines.select("property_usage_en", *factors).groupBy("property_usage_en", *[f"_n_{n}" for n in JOIN_KEYS]).agg(F.count("*").alias("_n"))
+    product = reduce(lambda a, b: a * b, [F.col(f"_n_{n}").cast("decimal(38,0)") for n in JOIN_KEYS], F.col("_n").cast("decimal(38,0)"))
+    return lines.groupBy("property_usage_en").agg(F.sum("_n").alias("n_lines"), F.sum(product).cast("decimal(38,0)").alias("n_joined"))
 
 
 def fact_as_written(df: DataFrame) -> DataFrame:
@@ -104,9 +113,55 @@ def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | null)
 
 
-def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Foreign-key check: fact rows whose key the dimension lacks."""
-    return facts.join(dim.select(key), key, "left_anti")
+def orphans(facts: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+    """Foreign-key check: fact rows whose key, if they have one, the dimension lacks."""
+    found = facts.filter(F.col(key).isNotNull())
+    return found.join(dim.select(F.col(dim_key or key).alias(key)), key, "left_anti")
+
+
+#: Columns that the published tables declare as never null, besides keys.
+NOT_NULL = {
+    "contract_type": ["contract_reg_type_id"],
+    "property": ["ejari_bus_property_type_id", "ejari_property_type_id"],
+    "project": ["project_number"],
+    "location": ["area_id"],
+    "tenant": ["tenant_type_id"],
+    "fact": MEASURES,
+}
+
+
+def constraints(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every constraint of the published tables and the rows that break it: table_name, kind (primary, foreign, not_null),
+    column_name, n_bad. ``tables``: the tables of :func:`tables`, as built or as written."""
+    out: list[DataFrame] = []
+
+    def told(bad: DataFrame, table: str, kind: str, column: str) -> None:
+        out.append(bad.agg(F.count("*").alias("n_bad")).select(F.lit(table).alias("table_name"), F.lit(kind).alias("kind"), F.lit(column).alias("column_name"), "n_bad"))
+
+    facts = tables["fact"]
+    for name in [*DIMENSIONS, "date"]:
+        told(key_violations(tables[name], [f"{name}_key"]), name, "primary", f"{name}_key")
+    for name in DIMENSIONS:
+        told(orphans(facts, tables[name], f"{name}_key"), "fact", "foreign", f"{name}_key")
+    for side in ("start_date_key", "end_date_key"):
+        told(orphans(facts, tables["date"], side, "date_key"), "fact", "foreign", side)
+    for name, columns in NOT_NULL.items():
+        cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_bad")) for i, c in enumerate(columns)]))
+        nulls = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
+        out.append(nulls.select(F.lit(name).alias("table_name"), F.lit("not_null").alias("kind"), cells))
+    return reduce(DataFrame.unionByName, out)
+
+
+def tables(df: DataFrame) -> dict[str, DataFrame]:
+    """The dimensions, the calendar (``date``) and the fact table of a contract table."""
+    return {n: dimension(df, n) for n in DIMENSIONS} | {"date": dim_date(df.sparkSession), "fact": fact(df)}
+
+
+def write(df: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Write the star schema below ``root``, one Parquet table each, and read it back."""
+    for name, t in tables(df).items():
+        write_parquet(t, f"{root}/{name}")
+    return {name: df.sparkSession.read.parquet(f"{root}/{name}") for name in [*DIMENSIONS, "date", "fact"]}
 
 
 def expiring(df: DataFrame, day: Column, days: int = 15) -> DataFrame:

@@ -15,6 +15,7 @@ from leasemill.operators import parse, profile, quality, ranks, snapshots, star,
 from leasemill.plans.sqlapi import run_sql
 from leasemill.schema import DIMENSIONS, JOIN_KEYS
 from leasemill.session import shared_path, store_path
+from leasemill.sources.contracts import write_csv_report, write_parquet
 from leasemill.settings import (
     AREA_TIERS,
     COMMERCIAL_USAGE,
@@ -98,13 +99,44 @@ def _dim(name: str) -> Query:
     return on_contracts(lambda df: star.dimension(df, name).drop(f"{name}_key"))
 
 
+#: What the fact query shows of each dimension.
+SHOWN = {"contract_type": ["contract_id", "contract_reg_type_en"], "property": ["ejari_property_type_en", "property_usage_en"], "project": ["project_number", "project_name_en"], "location": ["area_id", "area_name_en"], "tenant": ["tenant_type_en"]}
+
+
 def _fact(df: DataFrame) -> DataFrame:
-    """The grain of the fact table: keys resolved back to their dimensions, counted by the content that matters."""
-    facts = star.fact(df)
-    out = facts
-    for name, shown in (("tenant", "tenant_type_en"), ("property", "property_usage_en"), ("project", "project_name_en")):
-        out = out.join(star.dimension(df, name).select(f"{name}_key", shown), f"{name}_key")
-    return out.select("tenant_type_en", "property_usage_en", "project_name_en", "contract_start_date", "contract_end_date", "start_date_key", "end_date_key", "annual_amount", "line_number")
+    """The fact table at its grain, joined back to all five dimensions and, for both dates, to the calendar."""
+    out, days = star.fact(df), star.dim_date(df.sparkSession)
+    for name, shown in SHOWN.items():
+        out = out.join(star.dimension(df, name).select(f"{name}_key", *shown), f"{name}_key")
+    for side in ("start", "end"):
+        out = out.join(days.select(F.col("date_key").alias(f"{side}_date_key"), F.col("day_of_week").alias(f"{side}_weekday")), f"{side}_date_key", "left")
+    return out.select(*[c for shown in SHOWN.values() for c in shown], "contract_start_date", "contract_end_date", "start_date_key", "end_date_key", "start_weekday", "end_weekday", *star.MEASURES)
+
+
+def _star_written(df: DataFrame) -> DataFrame:
+    """The star schema written and read back, then contracts and rents by usage and area from it."""
+    t = star.write(df, shared_path(df.sparkSession, "star"))
+    joined = t["fact"].join(t["property"].select("property_key", "property_usage_en"), "property_key").join(t["location"].select("location_key", "area_name_en"), "location_key")
+    return joined.groupBy("property_usage_en", "area_name_en").agg(F.count("*").alias("n"), F.max("annual_amount").alias("top_rent"))
+
+
+def _parquet_sink(df: DataFrame) -> DataFrame:
+    path = shared_path(df.sparkSession, "sink")
+    write_parquet(df, path)
+    write_parquet(df.limit(0), path, mode="ignore")  # leaves what is there
+    return df.sparkSession.read.parquet(path).select(*LINE, "property_usage_en", "contract_end_date")
+
+
+def _csv_report(df: DataFrame) -> DataFrame:
+    path = shared_path(df.sparkSession, "report")
+    write_csv_report(M.usage_segments(df).select("property_usage_en", "contract_count", "max_rent"), path)
+    return df.sparkSession.read.schema("property_usage_en string, contract_count bigint, max_rent double").csv(path, header=True, quote='"', escape='"')
+
+
+def _lacking(df: DataFrame, lacks: str, types: dict[str, str], rules: tuple[str, ...]) -> DataFrame:
+    """The findings about the schema of a table that lacks a column and has others in another type."""
+    odd = df.drop(lacks).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    return quality.findings(odd).filter(F.col("rule").isin(*rules)).select("rule", "field", "severity")
 
 
 def _sql_facade(df: DataFrame) -> DataFrame:
@@ -238,6 +270,16 @@ def queries() -> dict[str, Query]:
         "dim_sequence_key": on_contracts(lambda df: star.sequence_key(df.select(*DIMENSIONS["project"]).distinct(), DIMENSIONS["project"], "project_seq").agg(F.count("*").alias("n"), F.min("project_seq").alias("lo"), F.max("project_seq").alias("hi"), F.count_distinct("project_seq").alias("n_keys"))),
         "fact_contract": on_contracts(_fact),
         "fact_contract_as_written": on_contracts(star.multiplicities),
+        "star_written": on_contracts(_star_written),
+        "dq_constraints": on_contracts(lambda df: star.constraints(star.tables(df))),
+        "parquet_sink": on_contracts(_parquet_sink),
+        "csv_report": on_contracts(_csv_report),
+        "usage_report_today": on_contracts(lambda df: usage.usage_report(df).select("property_usage_en", "no_of_contracts", "report_date")),
+        "dq_empty": on_contracts(lambda df: quality.findings(df.filter("false")).select("rule", "severity", "n_bad", "message")),
+        "dq_missing_column": on_contracts(lambda df: _lacking(df, "property_usage_en", {}, ("schema",))),
+        "dq_types": on_contracts(lambda df: _lacking(df, "source_file", {"contract_amount": "decimal(18,2)", "no_of_prop": "string"}, ("type",))),
+        "dq_sample": on_contracts(lambda df: quality.sample(df, 5000).agg(F.count("*").alias("n"))),
+        "fallback_property_type": on_contracts(lambda df: M.property_type_stats(df.drop("ejari_property_type_en")).select("ejari_property_sub_type_en", "contract_count", "max_rent")),
         "star_usage_rollup": on_contracts(lambda df: rounded(star.usage_rollup(star.fact(df), star.dimension(df, "property")), "avg_rent")),
         "dq_keys": on_contracts(lambda df: star.key_violations(df, ["contract_id", "line_number"])),
         "dq_orphans": on_contracts(lambda df: star.orphans(star.fact(df), star.dimension(df, "project").filter(F.col("project_number").isNotNull()), "project_key").groupBy("line_number").agg(F.count("*").alias("n"))),
@@ -320,8 +362,19 @@ def _multiplicity_sql() -> str:
     for name, keys in JOIN_KEYS.items():
         columns = ", ".join(DIMENSIONS[name])
         joins.append(f"LEFT JOIN (SELECT {', '.join(keys)}, count(*) AS n FROM (SELECT DISTINCT {columns} FROM rent_contracts) GROUP BY ALL) {name} ON " + " AND ".join(f"rc.{k} = {name}.{k}" for k in keys))
-        product.append(f"CAST(coalesce({name}.n, 0) AS DOUBLE)")
-    return f"SELECT rc.property_usage_en, count(*) AS n_lines, sum({' * '.join(product)}) AS n_joined FROM rent_contracts rc {' '.join(joins)} GROUP BY 1"
+        product.append(f"CAST(coalesce({name}.n, 0) AS HUGEINT)")
+    return f"SELECT rc.property_usage_en, count(*) AS n_lines, CAST(sum({' * '.join(product)}) AS DECIMAL(38, 0)) AS n_joined FROM rent_contracts rc {' '.join(joins)} GROUP BY 1"
+
+
+def _constraints_sql() -> str:
+    """Keys are made from the content, so the dimensions' keys hold by construction; the calendar ends on both sides."""
+    out = [f"SELECT '{n}' AS table_name, 'primary' AS kind, '{n}_key' AS column_name, CAST(0 AS BIGINT) AS n_bad" for n in [*DIMENSIONS, "date"]]
+    out += [f"SELECT 'fact', 'foreign', '{n}_key', CAST(0 AS BIGINT)" for n in DIMENSIONS]
+    out += [f"SELECT 'fact', 'foreign', '{s}_date_key', count(*) FILTER (contract_{s}_date NOT BETWEEN DATE '{star.FIRST_DAY}' AND DATE '{star.LAST_DAY}') FROM rent_contracts" for s in ("start", "end")]
+    for name, columns in star.NOT_NULL.items():
+        source = "rent_contracts" if name == "fact" else f"(SELECT DISTINCT {', '.join(DIMENSIONS[name])} FROM rent_contracts)"
+        out += [f"SELECT '{name}', 'not_null', '{c}', count(*) FILTER ({c} IS NULL) FROM {source}" for c in columns]
+    return " UNION ALL ".join(out)
 
 
 CELLS = " UNION ALL ".join(f"SELECT load_id, '{c}' AS column_name, {n} AS num, {t} AS txt FROM rent_contracts" for c, n, t in (("annual_amount", "annual_amount", "CAST(NULL AS VARCHAR)"), ("actual_area", "actual_area", "CAST(NULL AS VARCHAR)"), ("property_usage_en", "CAST(NULL AS DOUBLE)", "property_usage_en")))
@@ -360,7 +413,7 @@ def _p1_profile_sql(group: str, where: str) -> str:
 P1_SHIFT = f"""WITH cells AS ({CELLS}), live AS (SELECT * FROM cells WHERE {LIVE}),
 g AS (SELECT load_id, column_name, num, txt, count(*) AS n FROM live GROUP BY ALL),
 w AS (SELECT column_name, num, txt, count(*) AS w FROM live GROUP BY ALL),
-gs AS (SELECT load_id, column_name, sum(n) AS g, row_number() OVER (PARTITION BY column_name ORDER BY load_id NULLS FIRST) AS place FROM g GROUP BY ALL),
+gs AS (SELECT load_id, column_name, sum(n) AS g, row_number() OVER (PARTITION BY column_name ORDER BY load_id NULLS FIRST) AS place FROM g GROUP BY load_id, column_name),
 ws AS (SELECT column_name, sum(w) AS t FROM w GROUP BY ALL),
 d AS (SELECT gs.load_id, gs.column_name, abs(coalesce(g.n, 0) / gs.g - w.w / ws.t) AS x, abs(coalesce(g.n, 0) / gs.g - coalesce(o.n, 0) / os.g) AS y
   FROM gs JOIN w ON gs.column_name = w.column_name JOIN ws ON ws.column_name = w.column_name
@@ -469,7 +522,17 @@ def oracle_sql() -> dict[str, str]:
         "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day_of_month, CAST(quarter(d) AS INTEGER) AS quarter, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week
             FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS d)""",
         "dim_sequence_key": f"SELECT count(*) AS n, CAST(1 AS BIGINT) AS lo, count(*) AS hi, count(*) AS n_keys FROM (SELECT DISTINCT {', '.join(DIMENSIONS['project'])} FROM rent_contracts)",
-        "fact_contract": "SELECT tenant_type_en, property_usage_en, project_name_en, contract_start_date, contract_end_date, CAST(strftime(contract_start_date, '%Y%m%d') AS INTEGER) AS start_date_key, CAST(strftime(contract_end_date, '%Y%m%d') AS INTEGER) AS end_date_key, annual_amount, line_number FROM rent_contracts",
+        "fact_contract": "SELECT " + ", ".join([c for shown in SHOWN.values() for c in shown] + [*star.MEASURES, "contract_start_date", "contract_end_date"]) + "".join(f", CAST(strftime(contract_{x}_date, '%Y%m%d') AS INTEGER) AS {x}_date_key, CASE WHEN contract_{x}_date BETWEEN DATE '{star.FIRST_DAY}' AND DATE '{star.LAST_DAY}' THEN CAST(dayofweek(contract_{x}_date) + 1 AS INTEGER) END AS {x}_weekday" for x in ("start", "end")) + " FROM rent_contracts",
+        "star_written": "SELECT property_usage_en, area_name_en, count(*) AS n, max(annual_amount) AS top_rent FROM rent_contracts GROUP BY 1, 2",
+        "dq_constraints": _constraints_sql(),
+        "parquet_sink": f"SELECT {line}, property_usage_en, contract_end_date FROM rent_contracts",
+        "csv_report": f"SELECT nullif(property_usage_en, '') AS property_usage_en, count(*) AS contract_count, max(annual_amount) AS max_rent FROM rent_contracts WHERE {RENT} GROUP BY ALL",
+        "usage_report_today": f"SELECT property_usage_en, count(*) AS no_of_contracts, current_date AS report_date FROM rent_contracts WHERE {RENT} AND property_usage_en IS NOT NULL GROUP BY 1",
+        "dq_empty": "SELECT 'empty' AS rule, 'error' AS severity, CAST(0 AS BIGINT) AS n_bad, 'DataFrame is empty' AS message",
+        "dq_missing_column": "SELECT 'schema' AS rule, 'property_usage_en' AS field, 'error' AS severity",
+        "dq_types": "SELECT 'type' AS rule, unnest(['contract_amount', 'no_of_prop']) AS field, 'warning' AS severity",
+        "dq_sample": "SELECT least(count(*), 5000) AS n FROM rent_contracts",
+        "fallback_property_type": f"SELECT ejari_property_sub_type_en, count(*) AS contract_count, max(annual_amount) AS max_rent FROM rent_contracts WHERE {RENT} GROUP BY 1",
         "fact_contract_as_written": _multiplicity_sql(),
         "star_usage_rollup": f"SELECT property_usage_en, count(*) AS contracts, round(avg(annual_amount), 4) AS avg_rent FROM rent_contracts WHERE {RENT} GROUP BY 1",
         "dq_keys": "SELECT contract_id, line_number, count(*) AS n FROM rent_contracts GROUP BY 1, 2 HAVING count(*) > 1 OR contract_id IS NULL OR line_number IS NULL",

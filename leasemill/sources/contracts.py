@@ -23,13 +23,20 @@ CSV_OPTIONS = {
     "escape": '"',
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
+    # Every file's header is compared with the columns that are read; another order in one of them is an error.
+    "enforceSchema": "false",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
 
-def as_strings(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+def header(spark: SparkSession, path: str, options: dict[str, str] = CSV_OPTIONS) -> list[str]:
+    """The column names of the first file there; reads its first record."""
+    return spark.read.options(**options).csv(path).columns
+
+
+def as_strings(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def typed(raw: DataFrame, schema: T.StructType = CONTRACTS) -> DataFrame:
@@ -49,11 +56,20 @@ def typed(raw: DataFrame, schema: T.StructType = CONTRACTS) -> DataFrame:
     return raw.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = CONTRACTS) -> DataFrame:
-    """Contracts from CSV files with a header in the order of ``schema``. Malformed UTF-8 becomes U+FFFD. Line
-    breaks inside quotes stay in the value, so no file is split between tasks: one task reads a file, as a stream, and files
-    are read in parallel. A quote that is never closed takes the rest of its file with it."""
-    return typed(spark.read.schema(as_strings(schema)).options(**CSV_OPTIONS).csv(path), schema)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = CONTRACTS, line_breaks: bool = True) -> DataFrame:
+    """Contracts from CSV files, their columns found by the names in the header, in any order; columns that ``schema`` does not
+    know are left out, columns that the files lack are absent from the result, and a header with none of them is an error,
+    as is a file whose header differs from the first one's. Malformed UTF-8 becomes U+FFFD.
+
+    Line breaks inside quotes stay in the value, so no file is split between tasks: one task reads a file, as a stream, and
+    files are read in parallel. A quote that is never closed takes the rest of its file with it. ``line_breaks=False`` is for
+    files that are known to have none in values: they are split between tasks.
+    """
+    options = CSV_OPTIONS | {"multiLine": str(line_breaks).lower()}
+    names = header(spark, path, options)
+    if not {*names} & {*schema.names}:
+        raise ValueError(f"no known column in the header of {path}: {names}")
+    return typed(spark.read.schema(as_strings(names)).options(**options).csv(path), schema)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -64,7 +80,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 def write_csv_report(df: DataFrame, path: str) -> None:
     """A report as one CSV file (a folder with one part); for aggregated results."""
-    df.coalesce(1).write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    df.coalesce(1).write.mode("overwrite").options(header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -79,7 +95,7 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str, validate: bool
         df = read_csv(spark, source)
         write_parquet(df, target)
         if validate:
-            result = quality.validate(spark.read.schema(CONTRACTS).parquet(target))
+            result = quality.validate(spark.read.parquet(target))
             (report or (lambda r: log.info("%s", r)))(result)
         return True
     except Exception:

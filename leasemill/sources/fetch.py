@@ -28,9 +28,9 @@ class _LinkFinder(HTMLParser):
         self.found, self.href = False, None
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
+        a = dict(reversed(attrs))  # of an attribute that is given twice the first counts
         if tag == "a" and not self.found and LINK_CLASS in (a.get("class") or "").split():
-            self.found, self.href = True, a.get("href")
+            self.found, self.href = True, a.get("href") or None
 
 
 def find_link(html: bytes | str) -> str | None:
@@ -40,10 +40,27 @@ def find_link(html: bytes | str) -> str | None:
     return finder.href
 
 
+#: An attribute with its value, if any, and what may stand before the first attribute of a certain name.
+_ATTRIBUTE = r"""[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
+_BEFORE = rf"(?is)\A<a(?:[\s/]+{_ATTRIBUTE})*?[\s/]+"
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+#: What of a page is no mark-up: comments, scripts and styles.
+_NO_TAGS = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of that name; empty if there is none."""
+    return F.concat(*[F.regexp_extract(tag, _BEFORE + name + _VALUE, i) for i in (1, 2, 3)])
+
+
 def link_column(html: Column) -> Column:
     """The same over a column of pages, JVM-side; null for a page without such a link."""
-    tag = F.regexp_extract(html, rf"""(?is)(<a\b(?=[^>]*\bclass\s*=\s*["'][^"']*\b{LINK_CLASS}\b)[^>]*>)""", 1)
-    return F.nullif(F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
+    tags = F.regexp_extract_all(F.regexp_replace(html, _NO_TAGS, ""), F.lit(r"""(?is)(<a(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>)"""), 1)
+    ours = F.filter(tags, lambda t: F.array_contains(F.split(_attribute(t, "class"), r"\s+"), LINK_CLASS))
+    href = _attribute(F.try_element_at(ours, F.lit(1)), "href")
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        href = F.replace(href, F.lit(entity), F.lit(character))
+    return F.nullif(href, F.lit(""))
 
 
 def with_retries(action: Callable[[], object], attempts: int = FETCH_RETRIES, sleep: Callable[[float], None] = time.sleep):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import logging
 import shutil
@@ -62,16 +63,21 @@ class FolderPublisher:
         return str(target)
 
 
-Send = Callable[[str, str, dict, bytes | None], tuple[int, bytes]]
+Send = Callable[[str, str, dict, bytes | Path | None], tuple[int, bytes]]
 
 
-def send(method: str, url: str, headers: dict, body: bytes | None) -> tuple[int, bytes]:
-    request = urllib.request.Request(url, data=body, headers=headers, method=method)
-    try:
-        with urllib.request.urlopen(request, timeout=60) as r:
-            return r.status, r.read()
-    except urllib.error.HTTPError as e:
-        return e.code, e.read()
+def send(method: str, url: str, headers: dict, body: bytes | Path | None) -> tuple[int, bytes]:
+    """Send a request; the content of a file goes as a stream."""
+    with contextlib.ExitStack() as opened:
+        if isinstance(body, Path):
+            headers = headers | {"Content-Length": str(body.stat().st_size)}
+            body = opened.enter_context(body.open("rb"))
+        request = urllib.request.Request(url, data=body, headers=headers, method=method)
+        try:
+            with urllib.request.urlopen(request, timeout=60) as r:
+                return r.status, r.read()
+        except urllib.error.HTTPError as e:
+            return e.code, e.read()
 
 
 class ReleasePublisher:
@@ -99,7 +105,7 @@ class ReleasePublisher:
         for name, file in pieces(files):
             url = f"{self.uploads}/repos/{self.repository}/releases/{release}/assets?name={urllib.parse.quote(name)}"
             try:
-                status, _ = self.http("POST", url, self.headers | {"Content-Type": "application/octet-stream"}, file.read_bytes())
+                status, _ = self.http("POST", url, self.headers | {"Content-Type": "application/octet-stream"}, file)
                 if status != 201:
                     raise OSError(status)
                 done.append(name)
@@ -112,7 +118,8 @@ class ReleasePublisher:
         files = list(files)
         pieces(files)
         release = self.create(tag)
-        self.upload(release, files)
+        if not self.upload(release, files):
+            raise OSError(f"nothing was uploaded to {tag}")
         return str(release)
 
 
@@ -123,7 +130,7 @@ class DepositPublisher:
         self.api, self.http = api.rstrip("/"), http
         self.headers = {"Authorization": f"Bearer {token}", "Content-Type": "application/json"}
 
-    def _call(self, method: str, path: str, body: bytes | None = None, ok=(200, 201, 202, 204), headers: dict | None = None):
+    def _call(self, method: str, path: str, body: bytes | Path | None = None, ok=(200, 201, 202, 204), headers: dict | None = None):
         url = path if path.startswith("http") else f"{self.api}/{path}"
         status, data = self.http(method, url, headers or self.headers, body)
         if status not in ok:
@@ -138,12 +145,15 @@ class DepositPublisher:
 
     def upload(self, bucket: str, file: str) -> None:
         for name, piece in pieces([file]):
-            self._call("PUT", f"{bucket}/{urllib.parse.quote(name)}", piece.read_bytes(), headers=self.headers | {"Content-Type": "application/octet-stream"})
+            self._call("PUT", f"{bucket}/{urllib.parse.quote(name)}", piece, headers=self.headers | {"Content-Type": "application/octet-stream"})
 
     def release(self, deposition: int) -> dict:
         return self._call("POST", f"deposit/depositions/{deposition}/actions/publish")
 
     def delete(self, deposition: int) -> None:
+        """Delete a draft; a deposition that is published stays, and that is an error."""
+        if self._call("GET", f"deposit/depositions/{deposition}").get("submitted"):
+            raise OSError(f"deposition {deposition} is published and cannot be deleted")
         self._call("DELETE", f"deposit/depositions/{deposition}")
 
     def exists(self, tag: str) -> bool:
@@ -169,3 +179,10 @@ def publish_existing(publisher: Publisher | None, tag: str, files: Iterable[str]
     if publisher is None or not there or publisher.exists(tag):
         return None
     return publisher.publish(tag, there)
+
+
+def from_token(token: str | None, api: str, uploads: str | None = None, repository: str | None = None, http: Send = send) -> Publisher | None:
+    """The publisher for a token: releases of ``repository``, or depositions where none is named; None without a token."""
+    if not token:
+        return None
+    return ReleasePublisher(api, uploads or api, repository, token, http) if repository else DepositPublisher(api, token, http)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,12 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leasemill.operators import profile
 from leasemill.schema import CONTRACTS
-from leasemill.sources.contracts import CSV_OPTIONS, as_strings, typed
+from leasemill.sources.contracts import CSV_OPTIONS, as_strings, header, typed
 
 
 def contracts_stream(spark: SparkSession, folder: str, schema: T.StructType = CONTRACTS, files_per_batch: int = 1000) -> DataFrame:
-    """New CSV files of a folder as typed contracts."""
-    raw = spark.readStream.schema(as_strings(schema)).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_batch).csv(folder)
+    """New CSV files of a folder as typed contracts, by the names in the header of the first file that is there, or in the order
+    of ``schema`` where there is none yet. A file with another header stops the stream."""
+    try:
+        names = header(spark, folder)
+    except AnalysisException:
+        names = []
+    raw = spark.readStream.schema(as_strings(names or schema.names)).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_batch).csv(folder)
     return typed(raw, schema)
 
 

@@ -172,6 +172,22 @@ def test_multiplicities_tell_the_size_of_the_written_join(contracts):
     assert told == star.fact_as_written(contracts).count() > 7
 
 
+def test_star_is_written_and_its_constraints_hold(contracts, tmp_path):
+    written = star.write(contracts, str(tmp_path / "star"))
+    bad = {(r.table_name, r.kind, r.column_name): r.n_bad for r in star.constraints(written).collect()}
+    assert not any(n for (_, kind, column), n in bad.items() if kind == "primary" or (kind == "foreign" and "date" not in column))
+    assert len([k for k in bad if k[1] == "primary"]) == 6 and len([k for k in bad if k[1] == "foreign"]) == 7
+    assert bad["fact", "not_null", "annual_amount"] == 0 and bad["fact", "not_null", "is_free_hold"] == 7
+    twice = written | {"tenant": written["tenant"].unionByName(written["tenant"]), "project": written["project"].limit(0)}
+    bad = {(r.table_name, r.kind, r.column_name): r.n_bad for r in star.constraints(twice).collect()}
+    assert bad["tenant", "primary", "tenant_key"] == 2 and bad["fact", "foreign", "project_key"] == 7
+
+
+def test_multiplicities_are_exact_beyond_doubles(spark):
+    df = spark.createDataFrame([tuple({"contract_reg_type_id": 1, "area_id": 1, "tenant_type_id": 1, "project_number": 1, "ejari_bus_property_type_id": 1, "ejari_property_type_id": 1, "contract_id": f"C{i % 97}", "area_name_en": f"A{i % 89}", "project_name_en": f"P{i % 83}", "property_usage_en": f"U{i % 79}", "tenant_type_en": f"T{i % 73}"}.get(c) for c in CONTRACTS.names) for i in range(2000)], CONTRACTS)
+    assert sum(int(r.n_joined) for r in star.multiplicities(df).collect()) == 2000 * 97 * 89 * 83 * 79 * 73
+
+
 def test_sequence_key(contracts):
     df = contracts.select("contract_id", "line_number").distinct()
     keys = sorted(r.k for r in star.sequence_key(df, df.columns, "k", buckets=3).collect())

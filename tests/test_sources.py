@@ -1,7 +1,9 @@
 """Files, download, publication, pipeline and streams."""
 
+import contextlib
 import io
 import json
+from argparse import Namespace
 from datetime import date
 
 import pytest
@@ -60,11 +62,26 @@ def test_line_ends_are_no_part_of_a_value(spark, tmp_path, end):
     assert C.read_csv(spark, str(tmp_path / "x.csv")).collect() == C.read_csv(spark, str(tmp_path / "y.csv")).collect()
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("annual_amount,other,contract_id\n5000,x,C1\n")
+    out = C.read_csv(spark, str(tmp_path / "x.csv"))
+    assert out.columns == ["contract_id", "annual_amount"] and tuple(out.first()) == ("C1", 5000.0)
+    (tmp_path / "y.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="no known column"):
+        C.read_csv(spark, str(tmp_path / "y.csv"))
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "1.csv").write_text("annual_amount,contract_id\n5000,C1\n")
+    (tmp_path / "z" / "2.csv").write_text("contract_id,annual_amount\nC2,6000\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        C.read_csv(spark, str(tmp_path / "z")).collect()
+    assert C.read_csv(spark, str(tmp_path / "z" / "2.csv"), line_breaks=False).first().annual_amount == 6000
+
+
 def test_csv_to_parquet(spark, tmp_path):
     (tmp_path / "x.csv").write_text(CSV)
     seen = []
     assert C.csv_to_parquet(spark, str(tmp_path / "x.csv"), str(tmp_path / "t"), report=seen.append)
-    assert spark.read.parquet(str(tmp_path / "t")).schema == CONTRACTS and seen[0].warnings
+    assert [f.simpleString() for f in spark.read.parquet(str(tmp_path / "t")).schema] == [f.simpleString() for f in CONTRACTS] and seen[0].warnings
     assert not C.csv_to_parquet(spark, str(tmp_path / "none.csv"), str(tmp_path / "u"))
     import pyarrow.parquet as pq
 
@@ -91,8 +108,29 @@ def opener(pages, fail=0):
 PAGE = b'<a class="x" href="no"></a><a class="action-icon-anchor" href="f.csv">get</a>'
 
 
-def test_links():
-    assert fetch.find_link(PAGE) == "f.csv" and fetch.find_link("<a href='x'>") is None and fetch.find_link(b"") is None
+PAGES = [
+    PAGE.decode(),
+    "<a href='x'>",
+    "",
+    '<a data-href="x.csv" href="y.csv" class="action-icon-anchor">',
+    '<a class="action-icon-anchor-old" href="x">',
+    "<a class=action-icon-anchor href=f.csv>",
+    '<A CLASS="big\n action-icon-anchor" HREF = "a.csv?x=1&amp;y=2">',
+    '<!-- <a class="action-icon-anchor" href="no"> --><a href=\'b\' class=\'action-icon-anchor\'/>',
+    '<abbr class="action-icon-anchor" href="no"><a title="1 > 0" class="action-icon-anchor" href="c">',
+    '<a class="action-icon-anchor"></a><a class="action-icon-anchor" href="d">',
+    '<a title=" class=action-icon-anchor " href="no">',
+    '<a class="action-icon-anchor" href="">',
+    '<a href="1" href="2" class="action-icon-anchor" class="x">',
+    '<script>"<a class=\'action-icon-anchor\' href=\'no\'>"</script><p>',
+]
+
+
+def test_links(spark):
+    wanted = ["f.csv", None, None, "y.csv", None, "f.csv", "a.csv?x=1&y=2", "b", "c", None, None, None, "1", None]
+    assert [fetch.find_link(p) for p in PAGES] == wanted and fetch.find_link(b"") is None
+    df = spark.createDataFrame([(i, p) for i, p in enumerate([*PAGES, None])], "i int, html string")
+    assert [r.href for r in df.select("i", fetch.link_column(F.col("html")).alias("href")).orderBy("i").collect()] == [*wanted, None]
 
 
 @pytest.mark.parametrize("fail,ok", [(0, True), (2, True), (6, False)])
@@ -145,12 +183,15 @@ def test_deposit_publisher(tmp_path):
     def http(method, url, headers, body):
         calls.append((method, url))
         if method == "GET":
-            return 200, json.dumps([{"title": "old"}]).encode()
+            return 200, json.dumps([{"title": "old"}] if url.endswith("depositions") else {"submitted": url.endswith("4")}).encode()
         return 201, json.dumps({"id": 3, "links": {"bucket": "http://b"}}).encode()
 
     p = publish.DepositPublisher("http://api", "t", http)
     assert p.exists("old") and p.publish("new", [str(a)]) == "3" and ("PUT", "http://b/a") in calls
     p.delete(3)
+    with pytest.raises(OSError, match="published"):
+        p.delete(4)
+    assert ("DELETE", "http://api/deposit/depositions/3") in calls and ("DELETE", "http://api/deposit/depositions/4") not in calls
     with pytest.raises(OSError):
         publish.DepositPublisher("http://api", "t", lambda *x: (500, b"")).list()
 
@@ -178,11 +219,11 @@ def test_pipeline_publishes_folders(spark, tmp_path, monkeypatch, kind, fails):
     def http(method, url, headers, body):
         calls.append((method, url))
         if method == "GET":
-            return (404, b"") if kind == "release" else (200, b"[]")
+            return (404, b"") if kind == "release" else (200, b"[]" if url.endswith("depositions") else b"{}")
         if headers.get("Content-Type") == "application/octet-stream":
             if fails and "property_usage" in url:
                 return 500, b""
-            sent[url.rsplit("=" if kind == "release" else "/", 1)[1]] = body
+            sent[url.rsplit("=" if kind == "release" else "/", 1)[1]] = body.read_bytes()
         return 201, json.dumps({"id": 7, "links": {"bucket": "http://b"}}).encode()
 
     def download(url, target):
@@ -199,6 +240,39 @@ def test_pipeline_publishes_folders(spark, tmp_path, monkeypatch, kind, fails):
         assert (("POST", "http://api/deposit/depositions/7/actions/publish") in calls) is not fails
 
 
+def test_files_are_streamed(tmp_path, monkeypatch):
+    (tmp_path / "a").write_bytes(b"x" * 100_000)
+    seen = []
+
+    def urlopen(request, timeout):
+        seen.append((request.data.read(), request.headers["Content-length"]))
+        return contextlib.nullcontext(Namespace(status=201, read=lambda: b"{}"))
+
+    monkeypatch.setattr(publish.urllib.request, "urlopen", urlopen)
+    assert publish.send("PUT", "http://b/a", {}, tmp_path / "a") == (201, b"{}") and seen == [(b"x" * 100_000, "100000")]
+
+
+def test_nothing_uploaded_is_an_error(tmp_path):
+    (tmp_path / "a").write_text("1")
+    p = publish.from_token("t", "http://api", "http://up", "o/r", lambda m, url, h, body: (201, b'{"id": 1}') if url.endswith("releases") else (500, b""))
+    with pytest.raises(OSError, match="nothing was uploaded"):
+        p.publish("v", [str(tmp_path / "a")])
+    assert publish.from_token("", "http://api") is None and publish.from_token(None, "http://api", repository="o/r") is None
+    assert isinstance(publish.from_token("t", "http://api"), publish.DepositPublisher)
+
+
+def test_command_line(monkeypatch, tmp_path):
+    from leasemill import __main__ as command
+
+    seen = []
+    monkeypatch.setattr(command, "build_session", lambda *a: None)
+    monkeypatch.setattr(command.pipeline, "run", lambda spark, *a: seen.append(a) or len(seen) == 1)
+    monkeypatch.setenv("T", "secret")
+    words = ["--url", "http://p", "--root", str(tmp_path), "--day", "2025-01-02", "--api", "http://api", "--token-variable", "T"]
+    assert command.main(words) == 0 and command.main(words[:6]) == 1
+    assert seen[0][:3] == ("http://p", str(tmp_path), date(2025, 1, 2)) and isinstance(seen[0][3], publish.DepositPublisher) and seen[1][3] is None
+
+
 def test_folders_are_sent_whole_or_not_at_all(tmp_path):
     (tmp_path / "t" / "k=1").mkdir(parents=True), (tmp_path / "t" / "k=2").mkdir()
     for x in ("t/k=1/part-0", "t/k=2/part-0", "t/_SUCCESS", "t/k=1/.part-0.crc"):
