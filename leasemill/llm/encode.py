@@ -16,13 +16,10 @@ from pyspark.sql import types as T
 from leasemill.llm import bpe
 from leasemill.session import ship_package
 
-#: Texts in an Arrow batch, so that batches of long texts fit a worker.
-TEXTS_PER_BATCH = 1000
-
-
 def prepare(df: DataFrame) -> None:
+    """Gives the workers this package. Spark bounds an Arrow batch by its bytes (64 MB unless the session says otherwise), so
+    that batches of long texts fit a worker; a longer text makes a batch of its own."""
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
 
 
 def broadcast_file(df: DataFrame, path: str | None):

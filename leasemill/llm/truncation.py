@@ -16,7 +16,9 @@ or a dangling comma stands at the end, a smaller share of endings is enough. Bla
 the cut are looked past.
 
 Only texts without a closing mark are followed up. Corpus counts are combined in each task and shuffled only if their key
-is among the keys asked for, which a bit array of fixed size tells (a false positive costs a row of shuffle, nothing else).
+is among the keys asked for, which a bit array sized by the number of keys tells (a false positive costs a row of shuffle,
+nothing else); more keys than one array holds are asked for in several scans. Texts are joined to what is known of their
+endings with hot endings apart.
 
 Defined results: null, empty and blank texts are no cases, nor are texts without a letter, mark or digit (only emoji, say)
 unless they end with a broken character; repeated texts are judged alike and are all cases; a null source
@@ -25,6 +27,9 @@ is a source; a corpus too small to know anything flags only broken characters at
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -35,7 +40,8 @@ from pyspark.sql import types as T
 
 from leasemill.llm.encode import prepare
 from leasemill.operators.bits import bit_words
-from leasemill.session import persist_table
+from leasemill.operators.joins import LEAST_ROWS, join_facts
+from leasemill.session import persist_table, small_or_stored
 
 CLOSERS = frozenset(".!?؟。۔।॥")
 PAUSES = frozenset(";؛")
@@ -52,7 +58,9 @@ BROKEN = "�"
 #: Kinds of tokens: without a word (joint, break, ellipsis, closing mark, end of the text), and words by what follows them.
 JOINT, BREAK, GAP, MARK, END, PLAIN, CLOSED, COMMA, ELLIPSIS = range(9)
 ORDERS = (5, 3, 2, 1)
-BITS = 1 << 26
+#: Bits for each key of a bit array, the least and the most bits of one, and the most arrays, each of which takes a scan of the
+#: corpus. Beyond ``MOST_ARRAYS`` of them (half a billion keys) the arrays get fuller, and more is shuffled.
+BITS_A_KEY, LEAST_BITS, MOST_BITS, MOST_ARRAYS = 16, 1 << 16, 1 << 28, 16
 FLUSH = 1_000_000
 MOST_REMEMBERED = 500_000
 START, SALTS = np.uint64(0x9E3779B97F4A7C15), {5: 11, 3: 12, 2: 13, 1: 14, "next": 15}
@@ -164,7 +172,7 @@ def scan(texts: list[str | None], known: _Words) -> dict[str, np.ndarray]:
     return {"num": num, "hash": np.array(known.hashes, np.uint64)[num] if len(num) else num.astype(np.uint64), "kind": kind, "text": text, "went": went, "start": start}
 
 
-def ending(text: str | None, known: _Words, least: int = 400) -> str | None:
+def ending(text: str | None, known: _Words, least: int = 160) -> str | None:
     """As much of a text's end as decides what :func:`tails` asks of it: from a blank on, with more words than any context
     and its start can take. Doubled until that holds, to the whole text if need be; the result is that of the whole text."""
     size = least
@@ -195,6 +203,15 @@ def prefix_key(prefix: str) -> int:
     return word_hash("\x01" + prefix)
 
 
+def prefix_keys(word: str) -> list[int]:
+    """The keys of all proper prefixes of a word, in time that grows with its length: the hash goes on from one to the next."""
+    so_far, out = xxhash.xxh64(b"\x01"), []
+    for c in word[:-1]:
+        so_far.update(c.encode("utf-8", "surrogatepass"))
+        out.append(so_far.intdigest())
+    return out
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint64).view(np.int64)
 
@@ -205,9 +222,8 @@ TAIL = T.StructType(
     + [T.StructField(f"c{k}", T.LongType()) for k in ORDERS]
     + [T.StructField("before5", T.LongType()), T.StructField("before2", T.LongType()), T.StructField("next5", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("number", T.BooleanType())]
 )
+UNITS = ["n_chars_", "n_bytes"]
 KEYS = [*(f"c{k}" for k in ORDERS), "before5", "before2", "next5", "prefix"]
-#: Longer strings are no words; they have no nodes in the trie.
-LONGEST_WORD = 100
 
 
 def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -272,36 +288,53 @@ def wordless_tails(b: pa.RecordBatch, out: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*b.columns[1:], *sizes, text_hash, *rest], names=out.names)
 
 
-def wanted_bits(open_tails: DataFrame) -> np.ndarray:
-    """A bit array of fixed size with a bit for each key that is asked for; BITS / 8 bytes, whatever the number of texts."""
-    rows = bit_words(open_tails.select(F.explode(F.array(*KEYS)).alias("key")), "key", BITS).toArrow()
-    out = np.zeros(BITS // 64, np.uint64)
-    out[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
-    return out
+@dataclass(frozen=True)
+class Wanted:
+    """A bit for each key that is asked for, of those that belong to one of ``arrays`` arrays."""
+
+    words: np.ndarray
+    array: int
+    arrays: int
+
+    def asked(self, keys: np.ndarray) -> np.ndarray:
+        place = keys & np.uint64(len(self.words) * 64 - 1)
+        held = (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return held & ((keys >> np.uint64(40)) % np.uint64(self.arrays) == self.array) if self.arrays > 1 else held
+
+
+def arrays_for(keys: int) -> tuple[int, int]:
+    """The size of a bit array and the number of arrays for so many keys; at most MOST_BITS / 8 bytes are broadcast at once."""
+    arrays = min(MOST_ARRAYS, max(1, -(-keys * BITS_A_KEY // (2 * MOST_BITS))))
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_KEY * max(1, keys) // arrays - 1).bit_length())), arrays
+
 
+def wanted_bits(keys: DataFrame, bits: int, array: int = 0, arrays: int = 1) -> Wanted:
+    """The bit array of the keys (a column ``key``) that belong to it; at most ``bits / 64`` words come to the driver."""
+    own = keys.filter(F.expr(f"pmod(shiftrightunsigned(key, 40), {arrays}L) = {array}")) if arrays > 1 else keys
+    rows = bit_words(own, "key", bits).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
+    return Wanted(words, array, arrays)
 
-def corpus_counts(df: DataFrame, bits, text: str = "text") -> DataFrame:
-    """(key, ended, went_on) over all positions of all texts but their ends, for the keys asked for."""
+
+def corpus_counts(df: DataFrame, wanted, text: str = "text") -> DataFrame:
+    """(key, ended, went_on) over all positions of all texts but their ends, for the keys asked for (``wanted``: a broadcast of
+    :class:`Wanted`), summed in each task; the same key may come from several tasks."""
     source = df.select(F.col(text).cast("string").alias("_text_"))
 
     def run(batches):
+        asked = wanted.value.asked
         known = _Words()
-        prefixes: dict[int, np.ndarray] = {}
-        wanted = bits.value
+        counts = np.zeros(0, np.int64)
         keys, ended, went_on, held = [], [], [], 0
 
-        def asked(k: np.ndarray) -> np.ndarray:
-            p = k & np.uint64(BITS - 1)
-            return (wanted[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
-
         def add(k: np.ndarray, e: np.ndarray, m: np.ndarray) -> None:
             nonlocal held
-            ok = asked(k)
-            if ok.any():
-                u, inverse = np.unique(k[ok], return_inverse=True)
+            if len(k):
+                u, inverse = np.unique(k, return_inverse=True)
                 keys.append(u)
-                ended.append(np.bincount(inverse, e[ok], len(u)))
-                went_on.append(np.bincount(inverse, m[ok], len(u)))
+                ended.append(np.bincount(inverse, e, len(u)))
+                went_on.append(np.bincount(inverse, m, len(u)))
                 held += len(u)
 
         def flush():
@@ -314,47 +347,89 @@ def corpus_counts(df: DataFrame, bits, text: str = "text") -> DataFrame:
             held = len(u)
             return pa.RecordBatch.from_arrays([pa.array(_signed(u)), pa.array(e), pa.array(m)], names=["key", "ended", "went_on"])
 
+        def add_prefixes() -> None:
+            """The words seen so far, each with its occurrences, to the nodes above them that are asked for."""
+            nonlocal counts, held
+            nodes, owners, size = [], [], 0
+            for n in np.flatnonzero(counts).tolist():
+                mine = prefix_keys(known.words[n])
+                nodes += mine
+                owners.append(len(mine))
+                size += len(mine)
+                if size > FLUSH:
+                    add_nodes(nodes, np.flatnonzero(counts)[: len(owners)], owners)
+                    counts[np.flatnonzero(counts)[: len(owners)]] = 0
+                    nodes, owners, size = [], [], 0
+            add_nodes(nodes, np.flatnonzero(counts), owners)
+            counts = np.zeros(0, np.int64)
+
+        def add_nodes(nodes: list[int], words: np.ndarray, owners: list[int]) -> None:
+            k, c = np.array(nodes, np.uint64), np.repeat(counts[words], owners).astype(float)
+            ok = asked(k)
+            add(k[ok], np.zeros(int(ok.sum())), c[ok])
+
         for b in batches:
             if len(known) > MOST_REMEMBERED:
-                known, prefixes = _Words(), {}
+                add_prefixes()
+                known = _Words()
             s = scan(b.column(0).to_pylist(), known)
             at = np.flatnonzero(s["went"] != 0)
             e, m = (s["went"][at] == 1).astype(float), (s["went"][at] == -1).astype(float)
-            for k in ORDERS:
-                add(context_keys(s, at, k), e, m)
-            inner = at > s["start"][at]
-            add(context_keys(s, at[inner] - 1, 5, "next"), e[inner], m[inner])
-            numbers, counts = np.unique(s["num"][at], return_counts=True)
-            for n in numbers.tolist():
-                if n not in prefixes:
-                    w = known.words[n]
-                    mine = np.array([prefix_key(w[:i]) for i in range(1, len(w))] if len(w) <= LONGEST_WORD else [], np.uint64)
-                    prefixes[n] = mine[asked(mine)]
-            below = [prefixes[n] for n in numbers.tolist()]
-            if below:
-                c = np.repeat(counts, [len(x) for x in below]).astype(float)
-                add(np.concatenate(below), np.zeros(len(c)), c)
+            for order in (1, 2):
+                k = context_keys(s, at, order)
+                ok = asked(k)
+                add(k[ok], e[ok], m[ok])
+            # Who asks for a longer context asks for its last two words as well; who asks for what may follow, for what is before.
+            if wanted.value.arrays > 1:
+                ok = np.ones(len(at), bool)
+            at, e, m = at[ok], e[ok], m[ok]
+            for order in (3, 5):
+                k = context_keys(s, at, order)
+                ok = asked(k)
+                add(k[ok], e[ok], m[ok])
+            before = np.zeros(len(s["kind"]) + 1, bool)
+            before[at[ok] if wanted.value.arrays == 1 else at] = True
+            every = np.flatnonzero(s["went"] != 0)
+            inner = every[(every > s["start"][every]) & before[every - 1]]
+            k = context_keys(s, inner - 1, 5, "next")
+            ok = asked(k)
+            add(k[ok], (s["went"][inner] == 1).astype(float)[ok], (s["went"][inner] == -1).astype(float)[ok])
+            counts = np.concatenate([counts, np.zeros(len(known.hashes) - len(counts), np.int64)])
+            counts += np.bincount(s["num"][s["went"] != 0], minlength=len(counts))
             if held > FLUSH:
                 out = flush()
                 if held > FLUSH // 2:  # many different keys: pass them on
                     keys.clear(), ended.clear(), went_on.clear()
                     held = 0
                     yield out
+        add_prefixes()
         if keys:
             yield flush()
 
-    part = source.mapInArrow(run, "key bigint, ended bigint, went_on bigint")
-    return part.groupBy("key").agg(F.sum("ended").alias("ended"), F.sum("went_on").alias("went_on"))
+    return source.mapInArrow(run, "key bigint, ended bigint, went_on bigint")
 
 
-def piled_lengths(open_tails: DataFrame, length: str) -> DataFrame:
-    """source, length: where many more different unclosed texts of a source end than around."""
-    n = open_tails.select("source", length, "text_hash").distinct().groupBy("source", length).agg(F.count("*").alias("n"))
+def piled_lengths(open_tails: DataFrame) -> DataFrame:
+    """_source, _unit (n_chars_ or n_bytes), _length: where many more different unclosed texts of a source end than around."""
+    lengths = F.inline(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(u).alias("length")) for u in UNITS]))
+    n = open_tails.select("source", "text_hash", lengths).distinct().groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
     # One row for each source and length.
-    around = Window.partitionBy("source").orderBy(length).rangeBetween(-NEIGHBOURS, NEIGHBOURS)
+    around = Window.partitionBy("source", "unit").orderBy("length").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
     mean = (F.sum("n").over(around) - F.col("n")) / (2 * NEIGHBOURS)
     piled = (F.col("n") >= PILE) & (F.col("n") >= F.col("mean") + PILE_DEVIATIONS * F.sqrt(F.col("mean") + 1))
-    return n.withColumn("mean", mean).filter(piled).select(F.col("source").alias("_source"), F.col(length).alias("_length"))
+    return n.withColumn("mean", mean).filter(piled).select(F.col("source").alias("_source"), F.col("unit").alias("_unit"), F.col("length").alias("_length"))
+
+
+def with_piles(rows: DataFrame, open_tails: DataFrame) -> DataFrame:
+    """Adds ``piled``: whether a text's length, in characters or bytes, is one at which its source's unclosed texts pile up."""
+    piles, held = small_or_stored(piled_lengths(open_tails), "piles")
+    rows = rows.withColumn("piled", F.lit(False))
+    for unit in UNITS:
+        mine = piles.filter(F.col("_unit") == unit)
+        mine = F.broadcast(mine) if held is not None else mine  # at most MOST_LOCAL_ROWS rows
+        same = F.col("source").eqNullSafe(F.col("_source")) & (F.col(unit) == F.col("_length"))
+        rows = rows.join(mine, same, "left").withColumn("piled", F.col("piled") | F.col("_length").isNotNull()).drop("_source", "_unit", "_length")
+    return rows
 
 
 def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -362,44 +437,47 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     columns = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
     spark = df.sparkSession
     every = persist_table(tails(columns, ["doc_id", "source"]), "tails")
+    total = every.count()  # reads footers only
     unclosed = every.filter(~F.col("closed") | F.col("broken"))
-    bits = spark.sparkContext.broadcast(wanted_bits(unclosed))
-    counts = corpus_counts(columns, bits)
+    shape = F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))]).alias("shape")
+    shapes = persist_table(unclosed.groupBy(*KEYS).agg(F.count("*").alias("n")).select(shape, "n", *KEYS), "shapes")
+    n_shapes = shapes.count()
+    asks = shapes.select("shape", "n", F.posexplode(F.array(*KEYS)).alias("slot", "key")).filter(F.col("key").isNotNull())
+    bits, arrays = arrays_for(n_shapes * len(KEYS))
+    counts = [corpus_counts(columns, spark.sparkContext.broadcast(wanted_bits(asks.select("key"), bits, i, arrays))) for i in range(arrays)]
     # Other texts with the same unclosed end are evidence of an end. They count as often as they occur, as all of the corpus
     # does, but for the copies of the text in question. c5 and before5 are keys of one kind, yet counted apart: a text that
     # goes on by one more word is no evidence that the words before it are an end.
-    places = unclosed.select(F.posexplode(F.array(*[f"c{k}" for k in ORDERS], "before5")).alias("place", "key"))
-    at_end = F.col("place") < len(ORDERS)
-    finals = places.groupBy("key").agg(F.count_if(at_end).alias("at_end"), F.count_if(~at_end).alias("before_end"))
-    copies = unclosed.groupBy("text_hash").agg(F.count("*").alias("copies"))
-    shapes = unclosed.select(*KEYS).distinct()
-    shapes = shapes.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))]))
-    asks = shapes.select("shape", F.posexplode(F.array(*KEYS)).alias("slot", "key")).filter(F.col("key").isNotNull())
-    told = asks.join(counts, "key", "left").join(finals, "key", "left")
-    told = told.withColumn("finals", F.when(F.col("slot") < len(ORDERS), F.col("at_end")).otherwise(F.col("before_end")))
-    zero = lambda c: F.coalesce(F.max(F.when(F.col("slot") == i, F.col(c))), F.lit(0))
-    aggs = []
-    for i, k in enumerate(KEYS):
-        for c in ("ended", "went_on", "finals"):
-            aggs.append(zero(c).alias(f"{k}_{c}"))
-    facts = told.groupBy("shape").agg(*aggs)
-    rows = unclosed.withColumn("shape", F.xxhash64(*[x for k in KEYS for x in (F.col(k).isNull(), F.col(k))])).join(facts, "shape", "left").join(copies, "text_hash")
-    for length in ("n_chars_", "n_bytes"):
-        piles = piled_lengths(unclosed, length)
-        rows = rows.join(piles, F.col("source").eqNullSafe(F.col("_source")) & (F.col(length) == F.col("_length")), "left").withColumn(f"pile_{length}", F.col("_length").isNotNull()).drop("_source", "_length")
-    found = rows.select("doc_id", "source", evidence(rows).alias("evidence"))
-    closed = every.filter(F.col("closed") & ~F.col("broken")).select("doc_id", "source", F.lit(None).cast("string").alias("evidence"))
-    return found.unionByName(closed).withColumn("truncated", F.col("evidence").isNotNull())
-
-
-def evidence(rows: DataFrame) -> Column:
-    """Why a text is cut, or null."""
+    n, slot, none = F.col("n"), F.col("slot"), F.lit(0).cast("bigint")
+    asked = asks.select("key", F.lit(1).cast("bigint").alias("asked"), F.when(slot < len(ORDERS), n).otherwise(none).alias("at_end"), F.when(slot == len(ORDERS), n).otherwise(none).alias("before_end"), none.alias("ended"), none.alias("went_on"))
+    counted = [c.select("key", none.alias("asked"), none.alias("at_end"), none.alias("before_end"), "ended", "went_on") for c in counts]
+    sums = reduce(DataFrame.unionByName, [asked, *counted]).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("asked", "at_end", "before_end", "ended", "went_on")]).filter(F.col("asked") > 0)
+    if total >= LEAST_ROWS:
+        sums = persist_table(sums, "sums")
+    told = join_facts(asks, sums, ["key"], "asked", n_shapes * len(KEYS))
+    told = told.withColumn("finals", F.when(slot < len(ORDERS), F.col("at_end")).otherwise(F.col("before_end")))
+    facts = told.groupBy("shape").agg(F.first("n").alias("n"), *[F.expr(f"coalesce(max({c}) FILTER (WHERE slot = {i}), 0L) AS {k}_{c}") for i, k in enumerate(KEYS) for c in ("ended", "went_on", "finals")])
+    texts = unclosed.groupBy("text_hash", shape).agg(F.count("*").alias("copies"), F.first("before5").isNull().alias("starts"))
+    if total >= LEAST_ROWS:
+        facts, texts = persist_table(facts, "facts"), persist_table(texts, "texts")
+    known = join_facts(texts, facts, ["shape"], "n", total).drop("shape", "n")
+    if total >= LEAST_ROWS:
+        known = persist_table(known, "known")
+    rows = with_piles(unclosed.filter(~F.col("broken")), unclosed).select("doc_id", "source", "text_hash", "number", "ellipsis", "dangling", "piled")
+    rows = join_facts(rows, known, ["text_hash"], "copies", total)
+    found = rows.select("doc_id", "source", evidence().alias("evidence"))
+    told_apart = F.when(F.col("broken"), "broken character").alias("evidence")
+    return found.unionByName(every.filter(F.col("closed") | F.col("broken")).select("doc_id", "source", told_apart)).withColumn("truncated", F.col("evidence").isNotNull())
+
+
+def evidence() -> Column:
+    """Why a text that is not broken at the end is cut, or null."""
     c = F.col
-    piled = c("pile_n_chars_") | c("pile_n_bytes")
+    piled = c("piled")
     hint = piled | c("ellipsis") | c("dangling")
     others, near = (F.greatest(c(x) - c("copies"), F.lit(0)) for x in ("c5_finals", "before5_finals"))
     # What else could stand there: all that goes on after the words before, or, at the start of a sentence, the longer words.
-    rivals = F.when(c("before5").isNull(), c("prefix_went_on")).otherwise(c("before5_went_on"))
+    rivals = F.when(c("starts"), c("prefix_went_on")).otherwise(c("before5_went_on"))
     usual = F.when(c("number"), (near >= USUAL_END) & (near >= USUAL_SHARE * c("before5_went_on"))).otherwise((others >= USUAL_END) & (others >= USUAL_SHARE * rivals))
     ends = {k: c(f"c{k}_ended") + F.when(usual, others).otherwise(F.lit(0)) for k in ORDERS}
     support = {k: ends[k] + c(f"c{k}_went_on") for k in ORDERS}
@@ -419,8 +497,7 @@ def evidence(rows: DataFrame) -> Column:
     limit = F.when(hint & two_only, DOUBTFUL_END_OF_TWO).otherwise(limit)
     after_known = (c("before5_went_on") >= SUPPORT) | ((c("before2_went_on") >= SUPPORT) & ~c("number"))
     return (
-        F.when(c("broken"), "broken character")
-        .when(unknown & prefix & ~c("number"), "word")
+        F.when(unknown & prefix & ~c("number"), "word")
         .when(piled & c("dangling"), "sentence and length")
         .when(novel & prefix & ~c("number") & (c("before5_went_on") >= SUPPORT), "word in context")
         .when(hint & unseen & c("number") & prefix & after_known, "word in context")

@@ -147,16 +147,63 @@ def test_counts_against_brute_force(corpus, order):
     assert sorted(ended.values()) == sorted(want_ended.values()) and sorted(went_on.values()) == sorted(want_on.values())
 
 
-def test_bits_pass_what_is_asked(spark, corpus):
+def test_sizes_of_bit_arrays():
+    assert X.arrays_for(0) == (X.LEAST_BITS, 1) and X.arrays_for(10_000) == (1 << 18, 1)
+    most = 2 * X.MOST_BITS // X.BITS_A_KEY
+    assert X.arrays_for(most) == (X.MOST_BITS, 1) and X.arrays_for(most + 1) == (X.MOST_BITS, 2)
+    assert X.arrays_for(10**12) == (X.MOST_BITS, X.MOST_ARRAYS)
+
+
+@pytest.mark.parametrize("arrays", [1, 3])
+def test_bits_pass_what_is_asked(spark, corpus, arrays):
     rows, cut = corpus
     df = frame(spark, rows + cut)
-    open_tails = X.tails(df, ["doc_id", "source"]).filter("NOT closed")
-    bits = X.wanted_bits(open_tails)
-    assert bits.nbytes == X.BITS // 8
-    asked = {k for r in open_tails.select(*X.KEYS).collect() for k in r if k is not None}
-    few = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(bits)).collect() if r.key in asked}
-    every = {r.key: (r.ended, r.went_on) for r in X.corpus_counts(df, spark.sparkContext.broadcast(np.full(X.BITS // 64, 0xFFFFFFFFFFFFFFFF, np.uint64))).collect() if r.key in asked}
-    assert few == every
+    keys = X.tails(df, ["doc_id", "source"]).filter("NOT closed").selectExpr(f"explode(array({', '.join(X.KEYS)})) AS key").filter("key IS NOT NULL").distinct()
+    asked = {r.key for r in keys.collect()}
+
+    def told(wanted):
+        out = Counter(), Counter()
+        for w in wanted:
+            seen = set()
+            for r in X.corpus_counts(df, spark.sparkContext.broadcast(w)).collect():
+                out[0][r.key] += r.ended
+                out[1][r.key] += r.went_on
+                seen.add(r.key)
+            assert len(wanted) == 1 or all((k % 2**64 >> 40) % len(wanted) == w.array for k in seen)
+        return {k: (out[0][k], out[1][k]) for k in asked}
+
+    few = [X.wanted_bits(keys, 1 << 20, i, arrays) for i in range(arrays)]
+    assert all(w.words.nbytes == (1 << 20) // 8 for w in few)
+    assert told(few) == told([X.Wanted(np.full(1 << 10, 0xFFFFFFFFFFFFFFFF, np.uint64), 0, 1)])
+
+
+def test_prefixes_of_words_of_any_length():
+    for word in ("a", "ab", "schön\U0001f600", "\ud800x", "x" * 300):
+        assert X.prefix_keys(word) == [X.prefix_key(word[:i]) for i in range(1, len(word))]
+    assert len(X.prefix_keys("y" * 100_000)) == 99_999
+
+
+def test_a_long_word_that_is_cut(spark, corpus):
+    rows, _ = corpus
+    long = "".join(random.Random(1).choices("abcdefghij", k=1300))
+    known = [(6000 + i, "w", f"The term {long} is explained in the annex of this contract.") for i in range(4)]
+    cut = [(6100, "w", f"Of the term {long[:700]}"), (6101, "w", f"Of the term {long[:120]}")]
+    found = {r.doc_id: r.evidence for r in X.judged(frame(spark, rows + known + cut)).collect()}
+    assert (found[6100], found[6101]) == ("word", "word")
+
+
+def test_large_tables_are_joined_with_hot_endings_apart(spark, corpus, monkeypatch):
+    from leasemill.operators import joins
+
+    rows, cut = corpus
+    df = frame(spark, rows + cut + [(20_000 + k, "c", cut[0][2]) for k in range(300)])
+    plain = {r.doc_id: r.evidence for r in X.judged(df).collect()}
+    monkeypatch.setattr(joins, "hot_limit", lambda total: 40)
+    monkeypatch.setattr(joins, "LEAST_ROWS", 1)
+    monkeypatch.setattr(X, "LEAST_ROWS", 1)
+    monkeypatch.setattr(X, "MOST_BITS", 1 << 16)
+    assert X.arrays_for(30_000)[1] > 1
+    assert {r.doc_id: r.evidence for r in X.judged(df).collect()} == plain
 
 
 def test_copies_change_nothing(spark, corpus):
