@@ -53,6 +53,8 @@ INVISIBLE = regex.compile(r"[\p{Cf}ـ️]+")
 CORE = regex.compile(r"[\p{L}\p{M}\p{N}](?:.*[\p{L}\p{M}\p{N}])?", regex.S)
 #: What stands after the last word; texts that differ in nothing else are copies of each other.
 LAST_OF_WORD = regex.compile(r"(?r)[\p{L}\p{M}\p{N}]")
+ASCII_MARKS, TATWEEL = "".join(chr(i) for i in range(128) if not chr(i).isalnum()), "ـ"
+NINES = str.maketrans("0123456789", "9999999999")
 DIGIT = regex.compile(r"\p{Nd}")
 BROKEN = "�"
 #: Kinds of tokens: without a word (joint, break, ellipsis, closing mark, end of the text), and words by what follows them.
@@ -92,22 +94,33 @@ def classify(token: str) -> tuple[str | None, int]:
         return None, BREAK
     if token == "":
         return None, END
+    # Words of ASCII, and of letters only with ASCII marks after them, need no patterns.
+    head = token.rstrip(ASCII_MARKS)
+    if head and token.isascii():
+        return head.lstrip(ASCII_MARKS).lower().translate(NINES), _kind(token[len(head) :])
+    if head.isalpha() and TATWEEL not in head:
+        return head.lower(), _kind(token[len(head) :])
     token = INVISIBLE.sub("", token).replace(BROKEN, "")
     m = CORE.search(token)
     after = token[m.end() :] if m else token
-    gap = "…" in after or ".." in after
     if m is None:
-        if gap:
+        if "…" in after or ".." in after:
             return None, GAP
         if any(c in CLOSERS for c in token):
             return None, MARK
         return None, JOINT if token and all(c in HANGING or c in PAUSES or c in COLON or c in "\"'«»" for c in token) and token != "/" or not token else BREAK
-    word = normal(m.group())
-    if gap:
-        return word, ELLIPSIS
+    return normal(m.group()), _kind(after)
+
+
+def _kind(after: str) -> int:
+    """The kind of a word by what follows it in its token."""
+    if not after:
+        return PLAIN
+    if "…" in after or ".." in after:
+        return ELLIPSIS
     if any(c in CLOSERS or c in PAUSES for c in after):
-        return word, CLOSED
-    return word, COMMA if any(c in HANGING for c in after) else PLAIN
+        return CLOSED
+    return COMMA if any(c in HANGING for c in after) else PLAIN
 
 
 class _Words(dict):
@@ -199,17 +212,25 @@ def context_keys(s: dict[str, np.ndarray], at: np.ndarray, order: int, salt: str
     return key
 
 
-def prefix_key(prefix: str) -> int:
-    return word_hash("\x01" + prefix)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
-def prefix_keys(word: str) -> list[int]:
-    """The keys of all proper prefixes of a word, in time that grows with its length: the hash goes on from one to the next."""
-    so_far, out = xxhash.xxh64(b"\x01"), []
-    for c in word[:-1]:
-        so_far.update(c.encode("utf-8", "surrogatepass"))
-        out.append(so_far.intdigest())
-    return out
+def prefix_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A key for every prefix of every word, the word itself last, and the lengths of the words; in time that grows with their
+    length: the hash of a prefix is a polynomial of its characters, summed up along the word."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if not len(codes):
+        return codes, sizes
+    starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    place = np.arange(len(codes)) - starts
+    powers = np.cumprod(np.full(int(sizes.max()), 0x9FB21C651E98DF25, np.uint64))
+    sums = np.cumsum(_mixed(codes + np.uint64(1)) * powers[place])
+    own = sums - np.concatenate([np.zeros(1, np.uint64), sums])[starts]
+    return _mixed(own ^ (place + 1).astype(np.uint64)), sizes
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -266,7 +287,8 @@ def tails(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             columns += [pa.array(_signed(context_keys(s, np.maximum(at - 1, 0), k)), pa.int64(), mask=~has_before) for k in (5, 2)]
             columns.append(pa.array(_signed(context_keys(s, np.maximum(at - 1, 0), 5, "next")), pa.int64(), mask=~has_before))
             last_words = [known.words[n] for n in s["num"][at].tolist()]
-            columns.append(pa.array(_signed(np.array([prefix_key(w) for w in last_words], np.uint64)), pa.int64()))
+            whole, sizes = prefix_keys(last_words)
+            columns.append(pa.array(_signed(whole[np.cumsum(sizes) - 1]), pa.int64()))
             columns.append(pa.array(["9" in w for w in last_words], pa.bool_()))
             kept = b.take(pa.array(rows)).columns[1:] if len(rows) else [pa.array([], c.type) for c in b.columns[1:]]
             yield pa.RecordBatch.from_arrays([*kept, *columns], names=out.names)
@@ -349,25 +371,16 @@ def corpus_counts(df: DataFrame, wanted, text: str = "text") -> DataFrame:
 
         def add_prefixes() -> None:
             """The words seen so far, each with its occurrences, to the nodes above them that are asked for."""
-            nonlocal counts, held
-            nodes, owners, size = [], [], 0
-            for n in np.flatnonzero(counts).tolist():
-                mine = prefix_keys(known.words[n])
-                nodes += mine
-                owners.append(len(mine))
-                size += len(mine)
-                if size > FLUSH:
-                    add_nodes(nodes, np.flatnonzero(counts)[: len(owners)], owners)
-                    counts[np.flatnonzero(counts)[: len(owners)]] = 0
-                    nodes, owners, size = [], [], 0
-            add_nodes(nodes, np.flatnonzero(counts), owners)
+            nonlocal counts
+            seen = np.flatnonzero(counts)
+            for part in np.array_split(seen, 1 + sum(len(known.words[n]) for n in seen.tolist()) // FLUSH):
+                nodes, sizes = prefix_keys([known.words[n] for n in part.tolist()])
+                proper = np.ones(len(nodes), bool)
+                proper[np.cumsum(sizes) - 1] = False
+                c, ok = np.repeat(counts[part], sizes).astype(float), proper & asked(nodes)
+                add(nodes[ok], np.zeros(int(ok.sum())), c[ok])
             counts = np.zeros(0, np.int64)
 
-        def add_nodes(nodes: list[int], words: np.ndarray, owners: list[int]) -> None:
-            k, c = np.array(nodes, np.uint64), np.repeat(counts[words], owners).astype(float)
-            ok = asked(k)
-            add(k[ok], np.zeros(int(ok.sum())), c[ok])
-
         for b in batches:
             if len(known) > MOST_REMEMBERED:
                 add_prefixes()

@@ -178,9 +178,27 @@ def test_bits_pass_what_is_asked(spark, corpus, arrays):
 
 
 def test_prefixes_of_words_of_any_length():
-    for word in ("a", "ab", "schön\U0001f600", "\ud800x", "x" * 300):
-        assert X.prefix_keys(word) == [X.prefix_key(word[:i]) for i in range(1, len(word))]
-    assert len(X.prefix_keys("y" * 100_000)) == 99_999
+    words = ["a", "ab", "ba", "abab", "schön\U0001f600", "\ud800x", "x" * 300, "y" * 100_000, "aab"]
+    keys, sizes = X.prefix_keys(words)
+    assert sizes.tolist() == [len(w) for w in words] and len(keys) == sum(sizes)
+    got = dict(zip([w[: i + 1] for w in words for i in range(len(w))], keys.tolist()))
+    assert len(set(got.values())) == len(got)  # other prefixes, other keys
+    for w in words:
+        for i in (1, len(w) // 2 or 1, len(w)):
+            assert X.prefix_keys([w[:i]])[0][-1] == got[w[:i]]
+    assert X.prefix_keys([])[0].tolist() == []
+
+
+@pytest.mark.parametrize("token", ["word", "Word,", "word...", "word..", "word!?", "word;", "word:", 'word"', "word)", "(12,5%)", "-a_1-…", "#7/x;", "$$", "مرحبا", "مرحبا،", "مرحـبا.", "a1b2", "1.5", "e\u0301", "x\u200d", "wo\ufffd", "'", "…", ".", "/", "-", "—", "a/b", "don't", "ªº", "ǅ"])
+def test_classes_of_tokens(token):
+    """The shortcut for words of letters says what the patterns say."""
+    plain = X.INVISIBLE.sub("", token).replace(X.BROKEN, "")
+    core = X.CORE.search(plain)
+    word, kind = X.classify(token)
+    assert word == (X.normal(core.group()) if core else None)
+    if core:
+        after = plain[core.end() :]
+        assert kind == (X.ELLIPSIS if "…" in after or ".." in after else X.CLOSED if set(after) & (X.CLOSERS | X.PAUSES) else X.COMMA if set(after) & X.HANGING else X.PLAIN)
 
 
 def test_a_long_word_that_is_cut(spark, corpus):
