@@ -7,7 +7,8 @@ their joined bytes by rank gives the two again; that is decided from the merge t
 of whose neighbours are compatible is the one that merging by rank gives, so the ids are those of the merge algorithm.
 Decoding looks bytes up in one table with offsets.
 
-Requires of the file: a byte-level BPE model whose merged tokens are numbered in the order of the merges (checked).
+Requires of the file: a byte-level BPE model whose merged tokens are numbered in the order of the merges, and
+that splits texts by ``PATTERN`` without a normal form (checked).
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import regex
 
 #: Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: what a file says that splits by this pattern.
+SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 DEFAULT_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 #: A vocabulary goes to every worker; a larger file is refused.
 MOST_FILE_BYTES = 64 << 20
@@ -58,7 +61,8 @@ class _Memo(dict):
 
 class ByteBPE:
     def __init__(self, file: bytes, pattern: str = PATTERN):
-        model = json.loads(file)["model"]
+        spec = json.loads(file)
+        model = spec["model"]
         vocab = model["vocab"]
         alphabet = byte_alphabet()
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -82,6 +86,9 @@ class ByteBPE:
         ids = {t: i for i, t in enumerate(texts) if t}
         if len({t for t in texts if len(t) == 1}) != 256:
             raise ValueError("a byte has no token")
+        split = spec.get("pre_tokenizer", SPLIT) or {}
+        if spec.get("normalizer") or model.get("ignore_merges") or (pattern == PATTERN and {k: split.get(k) for k in SPLIT} != SPLIT):
+            raise ValueError("the file asks for another normal form, split or order of merges than this encoder has")
         automaton = ahocorasick.Automaton()
         self.shorter = [-1] * n
         for t, i in ids.items():

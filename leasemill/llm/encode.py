@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,10 @@ from pyspark.sql import types as T
 from leasemill.llm import bpe
 from leasemill.session import ship_package
 
+#: A row's number has its task above these bits.
+TASK_BITS = 40
+
+
 def prepare(df: DataFrame) -> None:
     """Gives the workers this package. Spark bounds an Arrow batch by its bytes (64 MB unless the session says otherwise), so
     that batches of long texts fit a worker; a longer text makes a batch of its own."""
@@ -76,7 +81,7 @@ def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | Non
 
 
 def token_counts(df: DataFrame, keys: list[str], text: str = "text", path: str | None = None) -> DataFrame:
-    """The key columns, ``n_tokens``, and ``_at``, the row's place in its task's input."""
+    """The key columns, ``n_tokens``, and ``_at``, a number of the row that no other row has: its task and its place there."""
     prepare(df)
     file = broadcast_file(df, path)
     source = df.select(F.col(text).cast("string").alias("_text_"), *keys)
@@ -84,7 +89,7 @@ def token_counts(df: DataFrame, keys: list[str], text: str = "text", path: str |
 
     def run(batches):
         tokenizer = bpe.load(file.value)
-        at = 0
+        at = TaskContext.get().partitionId() << TASK_BITS
         for b in batches:
             counts = tokenizer.count_all(b.column(0).to_pylist())
             places = pa.array(range(at, at + b.num_rows), pa.int64())

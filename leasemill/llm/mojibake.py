@@ -4,12 +4,13 @@ A corpus gives the mutual information of adjacent characters: how much oftener t
 their own frequencies say. A pair weighs more the less it is to be expected; pairs that the corpus never has weigh most,
 expected ones weigh below zero. In a text the maximal-scoring segments over these weights (all of them, in linear time)
 are the improbable runs, widened to the blanks around. Only inside such runs inverse mappings are tried: the characters
-back to bytes by each encoding that may have been read wrongly, the bytes to text by each that may have been meant, up to
-three times over. A mapping is believed if its result is much more probable than what stood there; a run that maps back
+back to bytes by each encoding that may have been read wrongly, the bytes to text by each that may have been meant, over and
+over as long as the bytes are strict UTF-8, which makes the text shorter each time. A mapping is believed if its result is much more probable than what stood there; a run that maps back
 in part only, or holds marks of lost characters, is garbled beyond recovery.
 
 The character pairs are those of a fixed alphabet (``SYMBOLS``): common blocks one by one, the rest by block. So the table
-that goes to the workers has a bounded size, SYMBOLS**2, whatever the corpus.
+that goes to the workers has a bounded size, one byte for each of SYMBOLS**2 pairs and sixteen for those that occur, whatever
+the corpus.
 
 Defined results: null, empty and blank texts are not garbled; a text is judged as it stands, blanks included; repeated
 rows are judged alike; an empty corpus knows no pair, so nothing can be believed restored and only lost characters and
@@ -31,8 +32,7 @@ from leasemill.llm.encode import own_name, prepare
 
 #: Encodings whose reading of foreign bytes is tried, and the single-byte ones that may have been meant besides UTF-8.
 READ_AS = ["cp1252", "latin-1", "cp1256", "mac_roman", "cp437", "cp850", "iso8859-6", "cp720", "cp1251", "cp1254", "cp1250", "iso8859-15", "koi8-r", "cp866"]
-MEANT = ["cp1256", "iso8859-6", "mac_arabic", "cp720", "cp1252"]
-DEEPEST = 3
+MEANT = ["cp1256", "iso8859-6", "mac_arabic", "cp720"]
 
 #: The weight of a pair is -(shrunken mutual information) - MARGIN, in bits.
 MARGIN, FLOOR, SHRINK = 1.0, -4.0, 2.0
@@ -180,6 +180,7 @@ class Judge:
     def __init__(self, table: PairTable):
         self.table, self.weights = table, table.weights
         self.known: dict[str, tuple[str, str | None] | None] = {}
+        self.mappings: dict[str, tuple[float, str, str] | None] = {}
 
     def pairs(self, text: str) -> np.ndarray:
         s = symbols(f" {text} ")
@@ -220,8 +221,15 @@ class Judge:
                 out.append((a, b))
         return out
 
-    def mapped(self, run: str, before: float, depth: int = 1) -> tuple[float, str, str] | None:
-        """The best believed inverse mapping of a run: how common its text is, mapping, text.
+    def mapped(self, run: str, before: float) -> tuple[float, str, str] | None:
+        """The best believed inverse mapping of a run: how common its text is, mapping, text. Each text is looked into once,
+        and a text garbled n times is some 2^n times as long as it was, so the work grows with the run."""
+        if run not in self.mappings:
+            self.mappings[run] = self._best_mapping(run, before)
+        return self.mappings[run]
+
+    def _best_mapping(self, run: str, before: float) -> tuple[float, str, str] | None:
+        """As :meth:`mapped` says.
 
         Strict UTF-8 is strong evidence in itself. One single-byte encoding for another is believed only of runs that hold
         a letter which is not Arabic: from Arabic to Arabic the pairs alone say too little.
@@ -251,8 +259,8 @@ class Judge:
                     good = arabic >= 2 and arabic >= 0.8 * len(letters) and common > stood and (after <= BELIEVED * before or common >= stood + BYTE_GAIN * len(run))
                 if good and (best is None or (all(map(is_usual, text)), common) > (all(map(is_usual, best[2])), best[0])):
                     best = (common, name, text)
-                if right == "utf-8" and depth < DEEPEST and after > 0.5:
-                    deeper = self.mapped(text, after, depth + 1)
+                if right == "utf-8" and after > 0.5 and len(text) < len(run):
+                    deeper = self.mapped(text, after)
                     if deeper and (best is None or deeper[0] > best[0]):
                         best = (deeper[0], f"{name}, {deeper[1]}", deeper[2])
         return best
@@ -276,6 +284,7 @@ class Judge:
             return self.known[run]
         if len(self.known) > 200_000:
             self.known.clear()
+            self.mappings.clear()
         out: tuple[str, str | None] | None = None
         if LOST in run:
             out = (self.partly(run) or "lost", None)

@@ -10,7 +10,8 @@ ones that sharding may leave unfilled. Only ids and lengths are shuffled; a shar
 
 Defined results: a text above the capacity, and no other, is split: into full containers of its own and a remainder that is
 packed like a text. Null and empty texts have no tokens and stand in no container (``container_id`` null). Repeated rows
-are texts of their own: ``copy_at`` tells them apart. Containers are numbered within a capacity and shard, and
+are texts of their own: ``copy_at`` is a number that no other row of the table has. The numbers of rows and containers
+depend on how the input is split into tasks; which lengths stand together depends on the shards only. Containers are numbered within a capacity and shard, and
 ``container_id`` is unique in a capacity.
 """
 
@@ -116,7 +117,7 @@ def read_specs(specs: DataFrame) -> list[tuple[int, int]]:
 
 def pack(documents: DataFrame, specs: DataFrame, path: str | None = None, per_shard: int = PER_SHARD) -> DataFrame:
     """spec_id, capacity_tokens, container_id, doc_id, copy_at, piece, first_token, n_tokens: one row for each part of a
-    text in a container of each capacity. ``copy_at`` is the row's place in its input part, for repeated rows."""
+    text in a container of each capacity."""
     ship_package(documents.sparkSession)
     sizes = read_specs(specs)
     counts = persist_table(token_counts(documents, ["doc_id"], path=path), "tokens")
@@ -144,3 +145,14 @@ def fill_report(packed: DataFrame) -> DataFrame:
         F.ceil(F.sum("n") / F.first("capacity_tokens")).alias("fewest"),
         (F.sum("n") / (F.count("*") * F.first("capacity_tokens"))).alias("fill"),
     )
+
+
+def checks(packed: DataFrame) -> DataFrame:
+    """By capacity: ``n_texts`` and those without tokens, ``n_empty``; and what must be 0: containers above the capacity, texts
+    that are split though they fit, and texts whose parts do not follow on each other without a gap."""
+    texts = packed.groupBy("spec_id", "capacity_tokens", "copy_at").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("parts"), F.max("piece").alias("last"), F.max(F.col("first_token") + F.col("n_tokens")).alias("end"), F.count("container_id").alias("placed"))
+    gap = (F.col("placed") > 0) & ((F.col("last") + 1 != F.col("parts")) | (F.col("end") != F.col("n")))
+    by_text = texts.groupBy("spec_id", "capacity_tokens").agg(F.count("*").alias("n_texts"), F.count_if(F.col("placed") == 0).alias("n_empty"), F.count_if((F.col("parts") > 1) & (F.col("n") <= F.col("capacity_tokens"))).alias("n_split_needlessly"), F.count_if(gap).alias("n_with_gaps"))
+    held = packed.filter(F.col("container_id").isNotNull()).groupBy("spec_id", "capacity_tokens", "container_id").agg(F.sum("n_tokens").alias("n"))
+    by_container = held.groupBy("spec_id").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("n_overfull"))
+    return by_text.join(by_container, "spec_id", "left").withColumn("n_overfull", F.coalesce("n_overfull", F.lit(0)))

@@ -40,6 +40,18 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled_names(spark, sf_dir).filter("garbled").drop("garbled")
 
 
+def p2_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By table: garbled records, those for which a text was restored, and those whose restored text is, but for blanks, that
+    of a record of the same table that is not garbled."""
+    every = garbled_names(spark, sf_dir)
+    # Names that are not garbled, each once; joined by equality.
+    sound = every.filter(~F.col("garbled") & F.col("original").isNotNull()).select("table_name", F.trim("original").alias("_sound")).distinct().withColumn("_is", F.lit(True))
+    told = every.filter("garbled").select("table_name", F.trim("restored").alias("_sound")).groupBy("table_name", "_sound").agg(F.count("*").alias("n"))
+    told = told.join(sound, ["table_name", "_sound"], "left")
+    n = F.col("n")
+    return told.groupBy("table_name").agg(F.sum(n).alias("n_garbled"), F.coalesce(F.sum(F.when(F.col("_sound").isNotNull(), n)), F.lit(0)).alias("n_restored"), F.coalesce(F.sum(F.when(F.col("_is"), n)), F.lit(0)).alias("n_confirmed"))
+
+
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
@@ -76,6 +88,10 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p7_packed(spark, sf_dir)).withColumn("fill", F.round("fill", 4))
 
 
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.checks(p7_packed(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.judged(table(spark, sf_dir, "documents")).filter("truncated").select("doc_id")
 
@@ -88,6 +104,7 @@ def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found,
         "p2_restored": p2_restored,
+        "p2_rate": p2_rate,
         "p5_percentiles": p5_percentiles,
         "p5_by_usage": p5_by("property_usage_en"),
         "p5_by_area": p5_by("area_name_en"),
@@ -95,6 +112,7 @@ def queries() -> dict[str, Query]:
         "p6_decoded": p6_decoded,
         "p7_packed": p7_packed,
         "p7_fill": p7_fill,
+        "p7_checks": p7_checks,
         "p8_found": p8_found,
         "p8_sources": p8_sources,
     }
@@ -117,5 +135,6 @@ def _p5_sql(keys: list[str]) -> str:
 def oracle_sql() -> dict[str, str]:
     sketches = {"p5_percentiles": _p5_sql(["property_usage_en", "area_name_en"]), "p5_by_usage": _p5_sql(["property_usage_en"]), "p5_by_area": _p5_sql(["area_name_en"])}
     return {k: rounded_sql(v) for k, v in sketches.items()} | {
+        "p7_checks": "SELECT spec_id, capacity_tokens, count(*) AS n_texts, count(*) FILTER (coalesce(text, '') = '') AS n_empty, CAST(0 AS BIGINT) AS n_split_needlessly, CAST(0 AS BIGINT) AS n_with_gaps, CAST(0 AS BIGINT) AS n_overfull FROM documents JOIN container_specs ON true GROUP BY 1, 2",
         "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     }

@@ -74,6 +74,12 @@ def test_files_that_are_refused(tmp_path):
     bad = b'{"model": {"vocab": {"a": 0, "b": 5, "ab": 1}, "merges": ["a b"]}}'
     with pytest.raises(ValueError, match="order"):
         bpe.ByteBPE(bad)
+    import json
+
+    spec = json.loads(bpe.read_file())
+    for other in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}, {"pre_tokenizer": bpe.SPLIT | {"add_prefix_space": True}}):
+        with pytest.raises(ValueError, match="another"):
+            bpe.ByteBPE(json.dumps(spec | other).encode())
 
 
 def test_frames(spark, theirs):

@@ -61,7 +61,7 @@ def test_weights_of_seen_and_unseen_pairs(table):
 
 
 @pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "cp1256", "mac_roman", "cp437"])
-@pytest.mark.parametrize("depth", [1, 2])
+@pytest.mark.parametrize("depth", [1, 2, 4])
 def test_utf8_read_wrongly(judge, wrong, depth):
     for name in NAMES:
         text = name

@@ -91,6 +91,10 @@ def test_pack(spark, per_shard):
                 assert [r.n_tokens for r in rs[:-1]] == [capacity] * (len(rs) - 1)
                 assert [r.first_token for r in rs] == [capacity * i for i in range(len(rs))]
         assert total == sizes
+    numbers = {(r.spec_id, r.copy_at) for r in rows}
+    assert len(numbers) == 2 * len(texts)  # repeated rows are told apart, wherever they stand
+    for r in packing.checks(packing.pack(docs, specs, per_shard=per_shard)).collect():
+        assert (r.n_texts, r.n_empty, r.n_overfull, r.n_split_needlessly, r.n_with_gaps) == (len(texts), 2, 0, 0, 0)
     report = {r.spec_id: r for r in packing.fill_report(packing.pack(docs, specs, per_shard=per_shard)).collect()}
     assert report[1].tokens == report[2].tokens == sum(k[1] * n for k, n in sizes.items()) and report[2].fewest <= report[2].containers
 
