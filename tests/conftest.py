@@ -22,6 +22,9 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # The tables are tiny: compiling stages would take most of the time. The bench and the check run compiled code.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         },
