@@ -138,17 +138,9 @@ def group_figures(df: DataFrame, keys: list[str], values: dict[str, Column], ove
 
 
 def _overall(df: DataFrame, values: dict[str, Column], ranks: dict[str, str]) -> DataFrame:
-    """_tag, rank_tag, v over the whole table, for all values at once and in one plan: the located buckets come as a scalar
-    subquery, one row by nature."""
-    marked = _tagged(df, [], values)
-    found = df.sparkSession.sql(
-        f"""SELECT _tag, v, n, _s, _b, q.below, q.rank_tag, q.rank FROM (SELECT *, explode(p) AS q FROM (
-          SELECT *, (SELECT collect_list(struct(_tag, _s, _b, below, rank_tag, rank)) FROM {{places}}) AS p FROM {{marked}}) WHERE exists(p, x -> x._tag = _tag AND x._s = _s AND x._b = _b))
-        WHERE q._tag = _tag AND q._s = _s AND q._b = _b""",
-        marked=marked,
-        places=_located(marked, ["_tag"], ranks),
-    )
-    return within(found, ["_tag"])
+    """_tag, rank_tag, v over the whole table, for all values at once; the first of two scans is run when this is called."""
+    rows = _tagged(df, [], values)
+    return _pick(rows, rows, ["_tag"], ranks)
 
 
 def _nearest(quantiles: dict[str, float]) -> dict[str, str]:

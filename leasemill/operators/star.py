@@ -21,10 +21,9 @@ FIRST_DAY, LAST_DAY = "2020-01-01", "2035-12-31"
 
 
 def content_key(columns: list[str]) -> Column:
-    """Hash of the columns by position, 16 bytes; a null differs from every value."""
+    """Two hashes of the columns by position, as a struct of 16 bytes; a null differs from every value."""
     parts = ", ".join(f"`{c}` IS NULL, `{c}`" for c in columns)
-    half = "lpad(hex(xxhash64({})), 16, '0')"
-    return F.expr(f"unhex(concat({half.format(parts)}, {half.format('17, ' + parts)}))")
+    return F.expr(f"struct(xxhash64({parts}) AS hi, xxhash64(17, {parts}) AS lo)")
 
 
 def content_bucket(columns: list[str], buckets: int) -> Column:

@@ -31,7 +31,8 @@ def _csv_folder(spark: SparkSession, sf_dir: str) -> str:
     path = shared_path(spark, "csv")
     rows = spark.read.parquet(f"{sf_dir}/rent_contracts.parquet")
     rows = rows.withColumn("master_project_en", F.concat(F.col("project_name_en"), F.lit(TROUBLE), F.col("area_name_en")))
-    write_csv(rows.select("source_file", *reversed(CONTRACTS.names)), path)
+    # One task reads a file, so there are several.
+    write_csv(rows.select("source_file", *reversed(CONTRACTS.names)).repartition(spark.sparkContext.defaultParallelism), path)
     return path
 
 
