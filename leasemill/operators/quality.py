@@ -53,31 +53,31 @@ def rules(df: DataFrame) -> list[Rule]:
     out: list[Rule] = []
     for c in REQUIRED_FIELDS:
         if c in have:
-            out.append(Rule("required_null", c, "warning", F.col(c).isNull(), every, f"Field '{c}' has {{n:,}} null values ({{pct:.2f}}%)", "error"))
+            out.append(Rule("required_null", c, "warning", F.col(c).isNull(), every, f"{{n:,}} rows ({{pct:.2f}}%) lack the required {c}", "error"))
     if "annual_amount" in have:
         v, there = F.col("annual_amount"), F.col("annual_amount").isNotNull()
         out += [
-            Rule("rent_not_positive", "annual_amount", "error", v <= 0, None, "Found {n:,} records with rent <= 0"),
-            Rule("rent_below_min", "annual_amount", "warning", v < lim.min_annual_rent, there, f"Found {{n:,}} records with rent < AED {lim.min_annual_rent:,} ({{pct:.2f}}%)"),
-            Rule("rent_above_max", "annual_amount", "warning", v > lim.max_annual_rent, there, f"Found {{n:,}} records with rent > AED {lim.max_annual_rent:,} ({{pct:.2f}}%)"),
+            Rule("rent_not_positive", "annual_amount", "error", v <= 0, None, "{n:,} rows have rent <= 0"),
+            Rule("rent_below_min", "annual_amount", "warning", v < lim.min_annual_rent, there, f"{{n:,}} rents ({{pct:.2f}}%) are below {lim.min_annual_rent:,}"),
+            Rule("rent_above_max", "annual_amount", "warning", v > lim.max_annual_rent, there, f"{{n:,}} rents ({{pct:.2f}}%) are above {lim.max_annual_rent:,}"),
         ]
     if "actual_area" in have:
         v, there = F.col("actual_area"), F.col("actual_area").isNotNull()
         out += [
-            Rule("size_not_positive", "actual_area", "error", v <= 0, None, "Found {n:,} records with size <= 0"),
-            Rule("size_below_min", "actual_area", "warning", v < lim.min_property_size, there, f"Found {{n:,}} records with size < {lim.min_property_size} sqft ({{pct:.2f}}%)"),
-            Rule("size_above_max", "actual_area", "warning", v > lim.max_property_size, there, f"Found {{n:,}} records with size > {lim.max_property_size:,} sqft ({{pct:.2f}}%)"),
+            Rule("size_not_positive", "actual_area", "error", v <= 0, None, "{n:,} rows have size <= 0"),
+            Rule("size_below_min", "actual_area", "warning", v < lim.min_property_size, there, f"{{n:,}} areas ({{pct:.2f}}%) are below {lim.min_property_size:,} square feet"),
+            Rule("size_above_max", "actual_area", "warning", v > lim.max_property_size, there, f"{{n:,}} areas ({{pct:.2f}}%) are above {lim.max_property_size:,} square feet"),
         ]
     for c in DATE_FIELDS:
         if c in have:
-            out.append(Rule("date_null", c, "warning", F.col(c).isNull(), every, f"Field '{c}' has {{n:,}} null dates ({{pct:.2f}}%)"))
+            out.append(Rule("date_null", c, "warning", F.col(c).isNull(), every, f"{{n:,}} rows ({{pct:.2f}}%) have no {c}"))
     if {*DATE_FIELDS} <= have:
         start, end = F.col("contract_start_date"), F.col("contract_end_date")
         days = duration_days(start, end)
         out += [
-            Rule("date_order", "contract_end_date", "error", end <= start, None, "Found {n:,} records where end_date <= start_date"),
-            Rule("too_short", "contract_end_date", "warning", days < lim.min_contract_days, None, f"Found {{n:,}} contracts shorter than {lim.min_contract_days} days"),
-            Rule("too_long", "contract_end_date", "warning", days > lim.max_contract_days, None, f"Found {{n:,}} contracts longer than {lim.max_contract_days} days"),
+            Rule("date_order", "contract_end_date", "error", end <= start, None, "{n:,} rows have end_date <= start_date"),
+            Rule("too_short", "contract_end_date", "warning", days < lim.min_contract_days, None, f"{{n:,}} contracts last less than {lim.min_contract_days} days"),
+            Rule("too_long", "contract_end_date", "warning", days > lim.max_contract_days, None, f"{{n:,}} contracts last more than {lim.max_contract_days} days"),
         ]
     return out
 
@@ -169,7 +169,7 @@ def findings(df: DataFrame, strict: bool = False) -> DataFrame:
     numeric = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
     for c in NUMERIC_FIELDS:
         if c in df.columns and not isinstance(df.schema[c].dataType, numeric):
-            schema_rows.append(("type", c, "warning", None, None, f"Field '{c}' is not numeric type: {df.schema[c].dataType.simpleString()}"))
+            schema_rows.append(("type", c, "warning", None, None, f"{c} should be a number but is {df.schema[c].dataType.simpleString()}"))
     rs = rules(df)
     stored = bucketed_counts(df)
     names = [c for c in stored.columns if c != "_b"]
@@ -183,7 +183,7 @@ def findings(df: DataFrame, strict: bool = False) -> DataFrame:
         severity = r.strict_severity if strict and r.strict_severity else r.severity
         items.append(F.struct(F.lit(r.name).alias("rule"), F.lit(r.field).alias("field"), F.lit(severity).alias("severity"), n.alias("n_bad"), (pct if r.base is not None else F.lit(None).cast("double")).alias("pct"), text.alias("message")))
     total = F.col("total")
-    info = F.struct(F.lit("records").alias("rule"), F.lit("").alias("field"), F.lit("info").alias("severity"), total.alias("n_bad"), F.lit(None).cast("double").alias("pct"), F.concat(F.lit("Validating "), F.format_number(total, 0), F.lit(" records")).alias("message"))
+    info = F.struct(F.lit("records").alias("rule"), F.lit("").alias("field"), F.lit("info").alias("severity"), total.alias("n_bad"), F.lit(None).cast("double").alias("pct"), F.concat(F.format_number(total, 0), F.lit(" rows looked at")).alias("message"))
     empty = F.struct(F.lit("empty").alias("rule"), F.lit("").alias("field"), F.lit("error").alias("severity"), total.alias("n_bad"), F.lit(None).cast("double").alias("pct"), F.lit("DataFrame is empty").alias("message"))
     out = (
         counts.select("total", F.explode(F.array(empty, info, *items)).alias("x"))
@@ -195,7 +195,7 @@ def findings(df: DataFrame, strict: bool = False) -> DataFrame:
     if "annual_amount" in df.columns:
         o = _outlier_counts(df, stored).filter((F.col("n") >= LIMITS.min_outlier_sample) & (F.col("n_outliers") > 0))
         pct = F.col("n_outliers") / F.col("n") * F.lit(100.0)
-        message = F.concat(F.lit("Detected "), F.format_number("n_outliers", 0), F.lit(" statistical outliers in rent amounts ("), F.format_string("%.2f", pct), F.lit("%)"))
+        message = F.concat(F.format_number("n_outliers", 0), F.lit(" rents ("), F.format_string("%.2f", pct), F.lit("%) lie far outside the quartiles"))
         out = out.unionByName(o.select(F.lit("outliers").alias("rule"), F.lit("annual_amount").alias("field"), F.lit("info").alias("severity"), F.col("n_outliers").alias("n_bad"), pct.alias("pct"), message.alias("message")))
     return out
 
