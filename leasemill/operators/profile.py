@@ -17,6 +17,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +70,8 @@ def delta(df: DataFrame, rules: list[ColumnRule], group: str | Column, sign: int
     return _cells(df, rules, group).groupBy(*KEY).agg((F.count("*") * F.lit(sign)).alias("n")).select(*STATE.names)
 
 
+#: How often a run tries to make the next version of a store that others change at the same time.
+ATTEMPTS = 3
 #: More loads than this are no list of deliveries.
 MOST_LOADS = 100_000
 
@@ -99,13 +102,14 @@ class CountStore:
     A list (``list-n.json``) names the parts of version n: tables of counts, each distinct in its keys. A delta is written as
     a new part, at a cost that grows with the delta only. Parts are merged like the digits of a binary counter, when one is
     at most twice as large as all after it: a row is rewritten some log2(parts) times in all, and there are as few parts. A
-    version counts once its list is there, which is made in one step and never overwritten; what failed before that is not
-    seen. Parts and lists older than the version before are removed.
+    version counts once its list is there, which is never overwritten; what failed before that is not seen (its parts stay
+    unread). Parts and lists older than the version before are removed. Of two runs that make the same version at once one fails;
+    :meth:`refresh` then starts again from what the other has made.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or shared_path(spark, "counts")
-        self.list: dict = {"version": 0, "parts": [], "loads": [], "columns": None, "batch": -1}
+        self.list: dict = {"version": 0, "parts": [], "dropped": [], "loads": [], "columns": None, "batch": -1}
         if path:
             self._find()
 
@@ -158,16 +162,16 @@ class CountStore:
             known = all(p["groups"] is not None for p in parts[start:])
             groups = sorted({g for p in parts[start:] for g in p["groups"]}, key=str) if known else None
             parts = parts[:start] + [p for p in [self._part(merge(*[self._read(p["name"]) for p in parts[start:]])) | {"groups": groups}] if p["rows"]]
-        before, self.list = self.list, self.list | {"version": self.version + 1, "parts": parts} | more
-        path, fs = file_system(self.spark, f"{self.path}/list-{self.version:09d}.json")
-        out = fs.create(path, False)
-        out.write(bytearray(json.dumps(self.list).encode()))
+        kept, before = {p["name"] for p in parts}, self.list
+        dropped = [p["name"] for p in before["parts"] if p["name"] not in kept]
+        made = before | {"version": before["version"] + 1, "parts": parts, "dropped": dropped} | more
+        path, fs = file_system(self.spark, f"{self.path}/list-{made['version']:09d}.json")
+        out = fs.create(path, False)  # fails if another run has made this version
+        out.write(bytearray(json.dumps(made).encode()))
         out.close()
-        kept = {p["name"] for p in parts} | {p["name"] for p in before["parts"]}
-        every, _ = file_system(self.spark, f"{self.path}/part-*")
-        for f in fs.globStatus(every) or []:
-            if f.getPath().getName() not in kept:
-                fs.delete(f.getPath(), True)
+        self.list = made
+        for name in before["dropped"]:
+            fs.delete(file_system(self.spark, f"{self.path}/{name}")[0], True)
         for version, file in self._lists().items():
             if version < self.version - 1:
                 fs.delete(file_system(self.spark, file)[0], False)
@@ -186,6 +190,16 @@ class CountStore:
         the fingerprints of the loads, for which values are not shuffled, and scan only loads that are new or have changed; the
         counts of changed and vanished loads are taken back by what the store holds of them, with the sign turned.
         """
+        for _ in range(ATTEMPTS - 1):
+            try:
+                return self._refresh(df, rules, group)
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" not in str(e):
+                    raise
+                self._find()
+        return self._refresh(df, rules, group)
+
+    def _refresh(self, df: DataFrame, rules: list[ColumnRule], group: str) -> DataFrame:
         columns = [r.name for r in rules]
         if self.list["columns"] not in (None, columns):
             raise ValueError(f"the store at {self.path} counts {self.list['columns']}")

@@ -100,6 +100,16 @@ def test_refresh_takes_new_changed_and_vanished_loads(spark, tmp_path):
         P.CountStore(spark, path).refresh(loads(a), RULES[:1], "load")
 
 
+def test_two_runs_on_one_store(spark):
+    from leasemill.session import shared_path
+
+    path = shared_path(spark, "store")
+    one, two = P.CountStore(spark, path), P.CountStore(spark, path)
+    first, both = frame(spark, [(1, 5.0, "A")]), frame(spark, [(1, 5.0, "A"), (2, 6.0, "B")])
+    one.refresh(first, RULES, "load")
+    assert rows_of(two.refresh(both, RULES, "load")) == rows_of(P.delta(both, RULES, "load")) and two.version == 2
+
+
 def test_a_small_load_is_not_paid_with_the_whole_state(spark, tmp_path):
     import os
 
